@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import exact, html, mixing, packing, records, toxicity
+from millrace.llm import exact, html, mixing, packing, records, substrings, toxicity
 from millrace.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.removal_digests(table(spark, sf_dir, "documents"))
+
+
 def op6_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -85,6 +89,7 @@ SELECT doc_id, size, source_size, target, repeats, CAST(repeats * size AS BIGINT
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_records": op1_token_records,
     "op4_toxicity": op4_toxicity,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_pack_sequences": op6_pack_sequences,
     "op7_html_text": op7_html_text,
     "op9_exact_dedup": op9_exact_dedup,
