@@ -117,7 +117,7 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, end_id: int, shard
                 system.move(f"{folder}/_{tag}.{x}", f"{name}.{x}")
             yield pa.RecordBatch.from_pylist([{"shard": shard, "documents": n, "ids": total, "file": f"part-{shard:06d}.rec", "index": f"part-{shard:06d}.idx"}])
 
-    ordered = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).repartitionByRange(shards, "doc_id", "text").sortWithinPartitions("doc_id", "text")
+    ordered = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "text")
     return stored(ordered.mapInArrow(write, MANIFEST), f"{path}/manifest")
 
 
