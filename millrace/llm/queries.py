@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import exact, html, jaccard, mixing, packing, records, substrings, toxicity
+from millrace.llm import exact, html, jaccard, media, mixing, packing, records, substrings, toxicity
 from millrace.llm.common import table
 
 
@@ -35,6 +35,10 @@ def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
+def op8_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.media_digests(table(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -97,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_substring_dedup": op5_substring_dedup,
     "op6_pack_sequences": op6_pack_sequences,
     "op7_html_text": op7_html_text,
+    "op8_media_columns": op8_media_columns,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_mix_sources": op10_mix_sources,
 }
