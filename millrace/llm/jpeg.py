@@ -245,6 +245,7 @@ class _Bits:
 
     def __init__(self, data: np.ndarray, at: np.ndarray):
         d = np.concatenate([data, np.zeros(8, np.uint8)]).astype(np.int64)
+        self.data = d
         self.words = (d[:-3] << 24) | (d[1:-2] << 16) | (d[2:-1] << 8) | d[3:]
         self.last = len(self.words) - 1
         self.at = at.astype(np.int64)
@@ -286,8 +287,12 @@ def decode(files: list[bytes]) -> tuple[list[Frame], list[list[np.ndarray]]]:
     for i, f in enumerate(frames):
         for k, s in enumerate(f.scans):
             groups.setdefault((k, s[0]), []).append((i, s))
+    orders: dict[tuple, tuple] = {}
     for (_, spec), members in sorted(groups.items(), key=lambda g: g[0]):
-        _scan(spec, members, files, frames, shape, base, store)
+        for i, _ in members:
+            if (i, spec[0]) not in orders:
+                orders[i, spec[0]] = _coded_order(frames[i], shape[i], base[i], spec[0])
+        _scan(spec, members, files, orders, store)
     return frames, [[store[b : b + w * h] for b, (w, h) in zip(bs, s, strict=True)] for bs, s in zip(base, shape, strict=True)]
 
 
@@ -306,22 +311,26 @@ def _coded_order(f: Frame, shape: list[tuple[int, int]], base: list[int], comps:
     return np.stack([a for _, a in at], 1).ravel(), np.tile([k for k, _ in at], across * down), len(at)
 
 
-def _scan(spec: tuple, members: list, files: list[bytes], frames: list[Frame], shape: list, base: list, store: np.ndarray) -> None:
+def _scan(spec: tuple, members: list, files: list[bytes], orders: dict[tuple, tuple], store: np.ndarray) -> None:
     comps, first, last, high, low = spec
     tables: list[Huffman] = []
-    block_of, comp_of, length, table_of, regions = [], [], [], [], []
+    block_of, comp_of, steps, counts, rows, regions = [], [], [], [], [], []
     for i, (_, used, interval, begin, end) in members:
-        order, comp, in_mcu = _coded_order(frames[i], shape[i], base[i], comps)
-        step = (interval or len(order)) * in_mcu
+        order, comp, in_mcu = orders[i, comps]
         block_of.append(order)
         comp_of.append(comp)
-        n = -(-len(order) // step)
-        length.append(np.minimum(step, len(order) - step * np.arange(n)))
+        steps.append((interval or len(order)) * in_mcu)
+        counts.append(len(order))
         for t in used:
             if t is not None and t not in tables:
                 tables.append(t)
-        table_of.append(np.tile([tables.index(t) if t is not None else 0 for t in used], (n, 1)))
-        regions.append(np.frombuffer(files[i], np.uint8)[begin:end])
+        rows.append([tables.index(t) if t is not None else 0 for t in used])
+        regions.append(np.frombuffer(files[i], np.uint8, end - begin, begin))
+    step, count = np.array(steps), np.array(counts)
+    segments = -(-count // step)
+    inside = np.arange(segments.sum()) - np.repeat(np.cumsum(segments) - segments, segments)
+    length = np.minimum(np.repeat(step, segments), np.repeat(count, segments) - np.repeat(step, segments) * inside)
+    table = np.repeat(np.array(rows), segments, 0)
     raw, sizes = np.concatenate(regions), np.array([len(r) for r in regions])
     ff = np.concatenate([[False], raw[:-1] == 0xFF])
     ff[np.cumsum(sizes)[:-1][sizes[1:] > 0]] = False
@@ -330,7 +339,7 @@ def _scan(spec: tuple, members: list, files: list[bytes], frames: list[Frame], s
     kept = np.concatenate([[0], np.cumsum(~drop)])
     heads = np.concatenate([np.cumsum(sizes) - sizes, np.flatnonzero(mark) + 1])
     start = np.sort(heads)
-    length, table, blocks, comp = np.concatenate(length), np.concatenate(table_of), np.concatenate(block_of), np.concatenate(comp_of)
+    blocks, comp = np.concatenate(block_of), np.concatenate(comp_of)
     if len(start) != len(length):
         raise ValueError(f"{len(length)} restart segments are due and {len(start)} are there")
     bits = _Bits(raw[~drop], kept[start] * 8)
@@ -363,22 +372,36 @@ def _ac_first(bits: _Bits, lookup: np.ndarray, table: np.ndarray, who: np.ndarra
     idle = eob[who] > 0
     eob[who[idle]] -= 1
     who, at = who[~idle], at[~idle]
-    k = np.full(len(who), first)
+    k, pos, one = np.full(len(who), first), bits.at[who], lookup[0] if len(lookup) == 1 else None
     while len(who):
-        s = bits.symbol(who, lookup, table)
-        run, size = s >> 4, s & 15
-        ends = (size == 0) & (run < 15)
-        if ends.any():
-            e = who[ends]
-            eob[e] = (1 << run[ends]) - 1 + bits.take(e, run[ends])
-        v = _signed(bits.take(who, size), size)
+        window = (bits.words[pos >> 3] << (pos & 7)) & 0xFFFFFFFF  # 25 bits at least
+        got = one[window >> 16] if one is not None else lookup[table[who], window >> 16]
+        n, run, size = got >> 8, (got >> 4) & 15, got & 15
+        used = n + size
+        v = (window >> (32 - used)) & ((1 << size) - 1)
+        if (used > 25).any():  # long codes with many bits behind
+            far = np.flatnonzero(used > 25)
+            p = pos[far] + n[far]
+            v[far] = ((bits.words[p >> 3] << (p & 7)) & 0xFFFFFFFF) >> (32 - size[far])
+        pos = pos + used
         k = k + run
-        put = size > 0
-        store[at[put], k[put]] = v[put] << low
-        k = k + 1
-        on = ~ends & (k <= last)
+        if size.all():
+            store[at, k] = _signed(v, size) << low
+            k = k + 1
+            on = k <= last
+        else:
+            ends = (size == 0) & (run < 15)
+            e = np.flatnonzero(ends)
+            bits.at[who[e]] = pos[e]
+            eob[who[e]] = (1 << run[e]) - 1 + bits.take(who[e], run[e])
+            pos[e] = bits.at[who[e]]
+            put = np.flatnonzero(size)
+            store[at[put], k[put]] = _signed(v[put], size[put]) << low
+            k = k + 1
+            on = ~ends & (k <= last)
         if not on.all():
-            who, at, k = who[on], at[on], k[on]
+            bits.at[who[~on]] = pos[~on]
+            who, at, k, pos = who[on], at[on], k[on], pos[on]
 
 
 def _ac_refine(bits: _Bits, lookup: np.ndarray, table: np.ndarray, who: np.ndarray, at: np.ndarray, eob: np.ndarray, first: int, last: int, low: int, store: np.ndarray) -> None:
@@ -401,6 +424,17 @@ def _ac_refine(bits: _Bits, lookup: np.ndarray, table: np.ndarray, who: np.ndarr
             if len(fresh):
                 new[fresh] = np.where(bits.take(who[fresh], 1) > 0, one, -one)
             asks[w] = False
+        if k == first and (eob[who] > 0).all():
+            # within end-of-band runs there are correction bits alone: all of them at once
+            part = block[:, first : last + 1]
+            old = part != 0
+            count = np.cumsum(old, 1)
+            pos = bits.at[who][:, None] + count - 1
+            bit = (bits.data[pos >> 3] >> (7 - (pos & 7))) & 1
+            store[at, first : last + 1] = np.where(old & (bit > 0) & ((np.abs(part) & one) == 0), part + np.sign(part) * one, part)
+            bits.at[who] += count[:, -1]
+            eob[who] -= 1
+            return
         c = block[:, k]
         old = c != 0
         if old.any():
