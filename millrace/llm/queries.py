@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import exact, html, jaccard, media, mixing, packing, records, substrings, toxicity
+from millrace.llm import exact, html, jaccard, lm, media, mixing, packing, records, substrings, toxicity
 from millrace.llm.common import table
 
 
@@ -15,6 +15,10 @@ def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.encoded_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
 
 
+def op2_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.lm_scores(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=50256)
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -96,6 +100,7 @@ SELECT doc_id, size, source_size, target, repeats, CAST(repeats * size AS BIGINT
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_records": op1_token_records,
+    "op2_lm_scores": op2_lm_scores,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_toxicity": op4_toxicity,
     "op5_substring_dedup": op5_substring_dedup,
