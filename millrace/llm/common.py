@@ -8,6 +8,7 @@ import tempfile
 import uuid
 from array import array
 from collections.abc import Iterator
+from operator import attrgetter
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +21,7 @@ WORDS = re.compile(WORD)
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 _own: str | None = None
+_ID = attrgetter("id")
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -75,7 +77,7 @@ def small_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int) ->
             at = end
 
 
-class TokenIds(dict):
+class TokenIds:
     """Ids of a BPE tokenizer of the tokenizers library, as little-endian 32-bit bytes, kept per chunk of text.
 
     A text is cut where one space stands between two characters that aren't white space: byte-level
@@ -87,61 +89,78 @@ class TokenIds(dict):
     """
 
     CUT = re.compile(r"(?<=\S) (?=\S)")
-    PLAIN = re.compile(r"( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
+    LATIN = "".join(map(chr, [*range(0xC0, 0xD7), *range(0xD8, 0xF7), *range(0xF8, 0x100)]))
+    LETTERS = re.compile(f"[A-Za-z{LATIN}]+")
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 600_000):
         import json
 
         from tokenizers import Tokenizer
 
-        super().__init__()
-        self.tokenizer, self.most = Tokenizer.from_file(path), most
+        self.tokenizer, self.even = Tokenizer.from_file(path), False
         self.tokenizer.encode_special_tokens = True
-        self.model = self.tokenizer.model
-        spec = json.loads(self.tokenizer.to_str())
-        folds = spec["normalizer"] is not None
+        self.tokenize = self.tokenizer.model.tokenize
+        folds = json.loads(self.tokenizer.to_str())["normalizer"] is not None
         # Word-end models drop spaces and fold case; byte-level ones write a space as its byte symbol.
-        self.lead, self.fold = ("", str.lower) if folds else ("\u0120", str)
-        self.mark = {m: self._ids(m) for m in ".,"} | {"": b""}
+        self.lead, self.fold = ("", str.lower) if folds else ("\u0120", None)
+        self.symbols = {ord(c): "".join(map(_symbol, c.encode())) for c in self.LATIN}
+        self.mark = {m: self.ids(m) for m in ".,"}
+        self.line = self.ids("\n")
+        self.bare, self.spaced = _Chunks(self, "", most // 6), _Chunks(self, " ", most)
 
-    def _ids(self, text: str) -> bytes:
+    def ids(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def __missing__(self, chunk: str) -> bytes:
-        if plain := self.PLAIN.fullmatch(chunk):
-            space, word, mark = plain.groups()
-            symbols = self.fold(word)
-            if not word.isascii():  # byte-level symbols of Latin letters: both UTF-8 bytes
-                symbols = "".join(c if c < "\x80" else "".join(map(_symbol, c.encode())) for c in symbols)
-            ids = array("I", [t.id for t in self.model.tokenize((space and self.lead) + symbols)]).tobytes() + self.mark[mark]
-        elif chunk[-1:].isspace() or chunk[1:2].isspace():
-            if chunk != "\n":
-                if self.even:
-                    raise _Uneven
-                return self._ids(chunk)
-            ids = self._ids(chunk)
-        elif "\n" in chunk and chunk[0] != "\n" and "\n\n" not in chunk and chunk.split() == chunk.lstrip(" ").split("\n"):
-            head, *rest = chunk.split("\n")
-            return self[head] + b"".join([self["\n"] + self[r] for r in rest])
-        else:
-            ids = self._ids(chunk)
-        if len(self) < self.most and len(chunk) <= 64:
-            self[chunk] = ids
-        return ids
+    def letters(self, space: str, word: str) -> bytes:
+        """Ids of a pre-token of Latin letters."""
+        return array("I", map(_ID, self.tokenize((self.lead if space else "") + word.translate(self.symbols)))).tobytes()
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
         head, *rest = text.split(" ")
+        spaced = self.spaced
         if "" not in rest and head and not head[0].isspace():
             self.even = True
             try:
-                return self[head] + b"".join([self[" " + r] for r in rest])
+                return self.bare[head] + b"".join([spaced[r] for r in rest])
             except _Uneven:  # white space beside a single space: nothing of the kind is ever kept, so it shows
                 pass
         self.even = False
         head, *rest = self.CUT.split(text)
-        return self[head] + b"".join([self[" " + r] for r in rest])
+        return self.bare[head] + b"".join([spaced[r] for r in rest])
+
+
+class _Chunks(dict):
+    """Ids of chunks that follow a space, or that follow none."""
+
+    def __init__(self, of: TokenIds, space: str, most: int):
+        super().__init__()
+        self.of, self.space, self.most = of, space, most
+
+    def __missing__(self, chunk: str) -> bytes:
+        of = self.of
+        mark = of.mark.get(chunk[-1:], b"")
+        word = chunk[:-1] if mark else chunk
+        if word.isalpha() and (word.isascii() or of.LETTERS.fullmatch(word)):
+            if mark:
+                ids = self[word] + mark
+            elif of.fold and (low := of.fold(word)) != word:
+                ids = self[low]
+            else:
+                ids = of.letters(self.space, word)
+        elif chunk[-1:].isspace() or chunk[:1].isspace():
+            if of.even:
+                raise _Uneven
+            return of.ids(self.space + chunk)
+        elif "\n" in chunk and chunk.split() == chunk.split("\n"):
+            head, *rest = chunk.split("\n")
+            ids = self[head] + b"".join([of.line + of.bare[r] for r in rest])
+        else:
+            ids = of.ids(self.space + chunk)
+        if len(self) < self.most and len(chunk) <= 64:
+            self[chunk] = ids
+        return ids
 
 
 class _Uneven(Exception):
