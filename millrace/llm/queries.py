@@ -16,7 +16,8 @@ def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm.lm_scores(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=50256)
+    tokenizer = (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return lm.lm_scores(table(spark, sf_dir, "documents"), tokenizer, end_id=50256)
 
 
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
