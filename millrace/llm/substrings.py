@@ -5,7 +5,8 @@ by its least hash of ANCHOR words in a row: equal windows have equal anchors, an
 theirs. The index holds the anchors. Each batch of documents is fingerprinted where it lies and flushed as
 an immutable run sorted by fingerprint; compaction merge-joins the runs and adds up occurrences. Only
 windows whose anchor occurs twice can occur twice. Those windows are then verified one by one on 96 bits
-of hash over all their words, across the whole corpus, and the words they cover are removed.
+of hash over all their words, across the whole corpus: a count finds the windows that stand alone, which
+are few and come back with their one place. All others are repeats, and the words they cover are removed.
 
 Copies of a whole text are counted, not repeated: windows are emitted once per text with the number of
 its copies as weight.
@@ -17,10 +18,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import scratch, small_batches
+from millrace.llm.common import scratch, small_batches, stored
 from millrace.llm.words import mixed, row_of, run_hashes, slid, word_hashes
 
 ANCHOR = 8
@@ -79,9 +81,23 @@ class FingerprintIndex:
         return self.spark.read.schema("fp long").parquet(to)
 
 
-def repeated_windows(keyed: DataFrame, window: int = 35, batches: int = 2) -> DataFrame:
-    """keyed: key, key2 (two hashes of the text), doc_id, text. Returns key, key2, starts: of each text with such windows, the
-    word positions at which a window starts whose words also start elsewhere."""
+def candidates(texts: pa.Array, fps: pa.ListArray, window: int) -> tuple[np.ndarray, ...]:
+    """Words' hashes, texts' offsets, and the positions at which windows start whose anchor is among their text's fps."""
+    h, offsets, _, least = anchored(texts, window)
+    per = np.asarray(pa.compute.fill_null(fps.value_lengths(), 0))
+    with np.errstate(over="ignore"):
+        salt = mixed(np.arange(len(per), dtype=np.uint64))
+        known = np.unique(fps.flatten().to_numpy(zero_copy_only=False).astype(np.uint64) ^ np.repeat(salt, per))
+        sought = least ^ salt[row_of(offsets)[: len(least)]]
+    if not len(known) or not len(least):
+        return h, offsets, np.zeros(0, np.int64)
+    at = np.minimum(np.searchsorted(known, sought), len(known) - 1)
+    return h, offsets, np.flatnonzero((known[at] == sought) & (least > 0))
+
+
+def shared_anchors(keyed: DataFrame, window: int = 35, batches: int = 2) -> DataFrame:
+    """keyed: key, key2 (two hashes of the text), doc_id, text. A row per distinct text with anchors that stand elsewhere, too: key, key2,
+    fps, no (its number), of (a doc_id that has it), weight (its copies, for each row of that doc_id)."""
     spark = keyed.sparkSession
     index = FingerprintIndex(spark, scratch(spark, "fingerprints"), window)
     for b in range(batches):
@@ -91,32 +107,30 @@ def repeated_windows(keyed: DataFrame, window: int = 35, batches: int = 2) -> Da
     ids = keyed.groupBy("key", "key2", "doc_id").agg(F.count(F.lit(1)).alias("n"))
     copies = ids.groupBy("key", "key2").agg(F.sum("n").alias("copies"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("of"), F.col("n").alias("same"))).alias("first"))
     wanted = copies.join(anchors, "key").select("key", "key2", F.col("first.of").alias("of"), (F.col("copies") / F.col("first.same")).alias("weight"), "fps")
+    return stored(wanted.withColumn("no", F.monotonically_increasing_id()), scratch(spark, "anchors"))
+
+
+def single_windows(keyed: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
+    """no, singles: of each text the starts of its candidate windows that stand nowhere else. A window's count needs one shuffle of
+    hashes and places, combined before it; the place of a window that was met once is the least of one place."""
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches, "text", 1 << 20):
-            h, offsets, _, least = anchored(b.column("text"), window)
-            lists = b.column("fps")
-            fps, per = lists.flatten().to_numpy(zero_copy_only=False).astype(np.uint64), np.asarray(lists.value_lengths())
-            with np.errstate(over="ignore"):
-                salt = mixed(np.arange(len(per), dtype=np.uint64))
-                known = np.unique(fps ^ np.repeat(salt, per))
-                text = row_of(offsets)[: len(least)]
-                sought = least ^ salt[text]
-            at = np.minimum(np.searchsorted(known, sought), len(known) - 1)
-            hit = np.flatnonzero((known[at] == sought) & (least > 0))
+            h, offsets, hit = candidates(b.column("text"), b.column("fps"), window)
             if not len(hit):
                 continue
             whole, other = run_hashes(h, window)[hit], run_hashes(mixed(h), window)[hit]
-            row = pa.array(text[hit])
+            text = row_of(offsets)[hit]
+            row = pa.array(text)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(whole.astype(np.int64)), pa.array((other >> np.uint64(32)).astype(np.uint32).astype(np.int32)), b.column("key").take(row), b.column("key2").take(row), pa.array((hit - offsets[text[hit]]).astype(np.int32)), b.column("weight").take(row)],
-                ["hash", "check", "key", "key2", "start", "weight"],
+                [pa.array(whole.astype(np.int64)), pa.array((other >> np.uint64(32)).astype(np.uint32).astype(np.int32)), b.column("no").take(row), pa.array((hit - offsets[text]).astype(np.int32)), b.column("weight").take(row)],
+                ["hash", "check", "no", "start", "weight"],
             )
 
-    texts = keyed.join(wanted, ["key", "key2"]).where(F.col("doc_id").eqNullSafe(F.col("of"))).select("key", "key2", "weight", "fps", "text")
-    found = texts.mapInArrow(windows, "hash long, check int, key long, key2 long, start int, weight double")
-    twice = found.groupBy("hash", "check").agg(F.sum("weight").alias("n")).where("n > 1.5").select("hash", "check")
-    return found.join(twice, ["hash", "check"], "left_semi").groupBy("key", "key2").agg(F.collect_set("start").alias("starts"))
+    texts = keyed.join(wanted, ["key", "key2"]).where(F.col("doc_id").eqNullSafe(F.col("of"))).select("no", "weight", "fps", "text")
+    found = texts.mapInArrow(windows, "hash long, check int, no long, start int, weight double")
+    once = found.groupBy("hash", "check").agg(F.sum("weight").alias("n"), F.min("no").alias("no"), F.min("start").alias("start")).where("n < 1.5")
+    return once.groupBy("no").agg(F.collect_set("start").alias("singles"))
 
 
 def keyed_texts(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
@@ -132,27 +146,34 @@ def without_repeats(docs: DataFrame, window: int = 35, batches: int = 2, text: s
     rows. Windows are judged on the input. Texts of fewer words than a window stay whole.
     """
     keyed = keyed_texts(docs, text, doc_id)
-    starts = repeated_windows(keyed, window, batches)
+    wanted = shared_anchors(keyed, window, batches)
+    about = wanted.select("key", "key2", "no", "fps").join(single_windows(keyed, wanted, window), "no", "left").drop("no")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in small_batches(batches, "text", 4 << 20):
-            n, gone, kept = [], [], []
-            for t, s in zip(b.column("text").to_pylist(), b.column("starts"), strict=True):
-                words = t.encode().split()
-                n.append(len(words))
-                if s.is_valid and len(words):
-                    cover = np.zeros(len(words) + 1, np.int64)
-                    at = s.values.to_numpy()
-                    np.add.at(cover, at, 1)
-                    np.add.at(cover, at + window, -1)
-                    stays = np.cumsum(cover)[:-1] == 0
-                    words = [w for w, ok in zip(words, stays.tolist(), strict=True) if ok]
-                gone.append(n[-1] - len(words))
-                kept.append(b" ".join(words))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
-
-    joined = keyed.join(starts, ["key", "key2"], "left").select("doc_id", "text", "starts")
-    return joined.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept string")
+        for b in small_batches(batches, "text", 1 << 20):
+            _, offsets, hit = candidates(b.column("text"), b.column("fps"), window)
+            singles = b.column("singles")
+            alone = row_offsets(singles, offsets)
+            hit = np.setdiff1d(hit, alone, assume_unique=True)
+            cover = np.zeros(offsets[-1] + 1, np.int64)
+            cover[hit] += 1
+            np.subtract.at(cover, hit + window, 1)
+            gone = np.cumsum(cover)[:-1] > 0
+            n, left, kept = np.diff(offsets), [], []
+            for t, at, end in zip(b.column("text").to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+                words, out = t.encode().split(), gone[at:end]
+                kept.append(b" ".join([w for w, g in zip(words, out.tolist(), strict=True) if not g] if out.any() else words))
+                left.append(int(out.sum()))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(left, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
+
+    texts = keyed.join(about, ["key", "key2"], "left").select("doc_id", "text", "fps", "singles")
+    return texts.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept string")
+
+
+def row_offsets(lists: pa.ListArray, offsets: np.ndarray) -> np.ndarray:
+    """Positions within a batch of the words that lists name by their places in texts."""
+    per = np.asarray(pa.compute.fill_null(lists.value_lengths(), 0))
+    return lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64) + np.repeat(offsets[:-1], per)
 
 
 def removal_digests(docs: DataFrame, window: int = 35) -> DataFrame:
