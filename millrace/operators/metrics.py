@@ -1,7 +1,7 @@
 """Classifier metrics over (score, label) rows, as aggregates and windows over distinct scores.
 
-Rows first shrink to one per score and segment, so windows run over distinct scores. A running sum over
-all of them needs their order in one place; scores are therefore counted by `grain` decimals on request."""
+Rows first shrink to one per score and segment. Running sums over scores are made in two steps, so that no
+task orders all of them: over slices of the range of scores, then inside each slice."""
 
 from __future__ import annotations
 
@@ -16,13 +16,31 @@ def by_score(df: DataFrame, score: str, label: str, segments: list[str] | None =
     return df.groupBy(*(segments or []), F.col(score).alias("score")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("long")).alias("positives"))
 
 
+SLICES = 4096
+
+
+def running(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """Adds tp and seen (positives and rows at this score and above), all_p and all_n, within keys."""
+    sliced = counts.withColumn("__slice", F.floor(F.col("score") * SLICES))
+    total = sliced.groupBy(*keys, "__slice").agg(F.sum("n").alias("__n"), F.sum("positives").alias("__p"))
+    before = Window.partitionBy(*keys).orderBy(F.desc("__slice")).rowsBetween(Window.unboundedPreceding, -1)
+    whole, none = Window.partitionBy(*keys), F.lit(0)
+    total = total.select(
+        *[F.col(k).alias(f"__{k}") for k in keys], F.col("__slice").alias("__of"), F.coalesce(F.sum("__p").over(before), none).alias("__above_p"), F.coalesce(F.sum("__n").over(before), none).alias("__above_n"),
+        F.sum("__p").over(whole).alias("all_p"), F.sum("__n").over(whole).alias("all_n"),
+    )
+    same = F.col("__slice").eqNullSafe(F.col("__of"))
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    inside = Window.partitionBy(*keys, "__slice").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
+    run = sliced.withColumns({"__tp": F.sum("positives").over(inside), "__seen": F.sum("n").over(inside)}).join(total, same)
+    return run.select(*keys, "score", "n", "positives", (F.col("__above_p") + F.col("__tp")).alias("tp"), (F.col("__above_n") + F.col("__seen")).alias("seen"), "all_p", "all_n")
+
+
 def ranking(df: DataFrame, score: str, label: str, segments: list[str] | None = None) -> DataFrame:
     """A row per segment: n, positives, auc, average_precision, brier, log_loss; AUC and precision are null with one class only."""
     keys = segments or []
-    counts = by_score(df, score, label, keys)
-    down = Window.partitionBy(*keys).orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(*keys)
-    run = counts.withColumns({"tp": F.sum("positives").over(down), "seen": F.sum("n").over(down), "all_p": F.sum("positives").over(whole), "all_n": F.sum("n").over(whole)})
+    run = running(by_score(df, score, label, keys), keys)
     negatives = F.col("n") - F.col("positives")
     # a negative loses to all positives above it, and to half of those with its score
     wins = negatives * (F.col("tp") - F.col("positives") + F.col("positives") / 2)
@@ -49,17 +67,14 @@ def confusion(df: DataFrame, score: str, label: str, threshold: float, segments:
 def thresholds(df: DataFrame, score: str, label: str, least_precision: float = 0.35, least_recall: float = 0.80) -> DataFrame:
     """One row: moderate, high. high has the best F1 (the least such score), or is the first score from there on with
     least_precision; moderate is below it, has least_recall and the best precision (the greatest such score), or is high / 2."""
-    everything = Window.partitionBy()
-    down = Window.orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    c = by_score(df, score, label).withColumns({"tp": F.sum("positives").over(down), "seen": F.sum("n").over(down), "all_p": F.sum("positives").over(everything)})
+    c = running(by_score(df, score, label), [])
     c = c.withColumns({"precision": ratio(F.col("tp"), F.col("seen")), "recall": F.coalesce(ratio(F.col("tp"), F.col("all_p")), F.lit(1.0))})
     c = c.withColumn("f1", F.coalesce(ratio(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")), F.lit(0.0)))
-    c = c.withColumn("best", F.max(F.struct("f1", (-F.col("score")).alias("low"))).over(everything))
-    c = c.withColumn("first", -F.col("best.low"))
+    first = F.broadcast(c.agg((-F.max(F.struct("f1", (-F.col("score")).alias("low")))["low"]).alias("first")))  # one row
     ok = (F.col("precision") >= least_precision) & (F.col("score") >= F.col("first")) & (F.col("recall") > 0)
-    c = c.withColumn("high", F.coalesce(F.min(F.when(ok, F.col("score"))).over(everything), F.col("first")))
+    high = F.broadcast(c.crossJoin(first).groupBy("first").agg(F.min(F.when(ok, F.col("score"))).alias("h")).select(F.coalesce("h", "first").alias("high")))
     pick = F.max(F.when((F.col("recall") >= least_recall) & (F.col("score") < F.col("high")), F.struct("precision", "score")))
-    return c.groupBy("high").agg(pick.alias("m")).select(F.coalesce("m.score", F.greatest(F.lit(0.0), F.col("high") / 2)).alias("moderate"), "high")
+    return c.crossJoin(high).groupBy("high").agg(pick.alias("m")).select(F.coalesce("m.score", F.greatest(F.lit(0.0), F.col("high") / 2)).alias("moderate"), "high")
 
 
 def tier(score: Column, moderate: Column, high: Column) -> Column:

@@ -16,16 +16,20 @@ def classified(names: DataFrame, aliases: DataFrame, co_brands: DataFrame, brand
 
     aliases: alias, brand. co_brands: location, brand, place (order). brands: brand. These are reviewed
     lists; Spark decides by their size whether to broadcast them. A null or empty name has no candidates."""
-    several = co_brands.groupBy(F.col("location").alias("__location")).agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "brand"))), lambda x: x["brand"]).alias("__brands"))
+    several = co_brands.groupBy(F.col("location").alias("__name")).agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "brand"))), lambda x: x["brand"]).alias("__brands"))
     known = brands.select(F.col("brand").alias("__known")).distinct()
-    joined = names.join(aliases.select(F.col("alias").alias("__alias"), F.col("brand").alias("__brand")).distinct(), F.col(name) == F.col("__alias"), "left")
-    joined = joined.withColumn("canonical_name", F.coalesce("__brand", F.col(name))).join(several, F.col(name) == F.col("__location"), "left")
-    own = F.when(F.coalesce(F.col("canonical_name"), F.lit("")) == "", F.array().cast("array<string>")).otherwise(F.array("canonical_name"))
-    joined = joined.withColumn("brand_candidates", F.coalesce("__brands", own)).drop("__alias", "__brand", "__location", "__brands")
-    rows = joined.withColumn("__row", F.monotonically_increasing_id())
-    hits = rows.select("__row", F.posexplode("brand_candidates").alias("__at", "__known")).join(known, "__known").groupBy("__row").agg(F.transform(F.array_sort(F.collect_list(F.struct("__at", "__known"))), lambda x: x["__known"]).alias("fast_food_brands"))
-    out = rows.join(hits, "__row", "left").drop("__row")
-    return out.withColumn("fast_food_brands", F.coalesce("fast_food_brands", F.array().cast("array<string>"))).withColumn("is_co_brand", F.size("brand_candidates") > 1)
+    # a name decides everything, so the work is done once for each distinct name
+    each = names.select(F.col(name).alias("__name")).where("__name IS NOT NULL").distinct()
+    each = each.join(aliases.select(F.col("alias").alias("__name"), F.col("brand").alias("__brand")).distinct(), "__name", "left").join(several, "__name", "left")
+    each = each.withColumn("canonical_name", F.coalesce("__brand", "__name"))
+    nothing = F.array().cast("array<string>")
+    each = each.withColumn("brand_candidates", F.coalesce("__brands", F.when(F.col("canonical_name") == "", nothing).otherwise(F.array("canonical_name"))))
+    hits = each.select("__name", F.posexplode("brand_candidates").alias("__at", "__known")).join(known, "__known")
+    hits = hits.groupBy("__name").agg(F.transform(F.array_sort(F.collect_list(F.struct("__at", "__known"))), lambda x: x["__known"]).alias("fast_food_brands"))
+    each = each.join(hits, "__name", "left").select("__name", "canonical_name", "brand_candidates", "fast_food_brands")
+    out = names.join(each, F.col(name) == F.col("__name"), "left").drop("__name")
+    out = out.withColumns({c: F.coalesce(c, nothing) for c in ("brand_candidates", "fast_food_brands")})
+    return out.withColumn("is_co_brand", F.size("brand_candidates") > 1)
 
 
 def overridden(brands: DataFrame, overrides: DataFrame) -> DataFrame:
