@@ -13,11 +13,13 @@ until some round leaves it enough. Of two similar documents, the one that is don
 block in its last round, in which both take part; so no link is lost.
 
 A second sketch has one parity bit for each of 1024 hash values: its Hamming distance is a lower bound of
-the symmetric difference, too, and rejects candidates before their sets are compared.
+the symmetric difference, too, and rejects candidates before their sets are compared. Sets too large for
+1024 bits have a wider one, of two bits for each shingle at least; of two widths the wider one is folded.
 
-Documents with the same set are one node. Links between nodes are found in rounds: in each shared block a
-member drawn by hash is compared with all others, which joins most of what belongs together; then whatever
-members of a block aren't connected yet are compared with each other, where size and parity bits allow.
+Documents with the same set are one node. Links between nodes are found in rounds: in each shared block the
+member that stands first in a random order of all nodes is compared with all others, which joins most of
+what belongs together, and compares few pairs as neighbouring blocks have the same first member; then
+whatever members of a block aren't connected yet are compared with each other, where size and parity bits allow.
 """
 
 from __future__ import annotations
@@ -96,23 +98,32 @@ def parity(u: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
+def wide_parity(u: np.ndarray) -> np.ndarray:
+    """For more than BITS / 2 shingles: parity bits by the hashes' lowest bits, 2 * len(u) or more (a power of two); else none."""
+    if len(u) <= BITS // 2:
+        return np.zeros(0, np.int64)
+    size = 1 << (2 * len(u) - 1).bit_length()
+    bits = np.bincount((u & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
 def node_of(u: np.ndarray) -> int:
     """A set's own number: the sum of its hashes."""
     return int(mixed(np.array([u.sum(dtype=np.uint64) + np.uint64(len(u))])).astype(np.int64)[0])
 
 
 def described(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n, node, bits: of every row of docs (doc_id, text)."""
+    """doc_id, n, node, bits, wide: of every row of docs (doc_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches, "text", 1 << 20):
             sets = list(shingle_sets(b.column("text"), size))
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([len(u) for u in sets], pa.int64()), pa.array([node_of(u) for u in sets], pa.int64()), pa.array([parity(u) for u in sets], pa.list_(pa.int64()))],
-                ["doc_id", "n", "node", "bits"],
+                [b.column("doc_id"), pa.array([len(u) for u in sets], pa.int64()), pa.array([node_of(u) for u in sets], pa.int64()), pa.array([parity(u) for u in sets], pa.list_(pa.int64())), pa.array([wide_parity(u) for u in sets], pa.list_(pa.int64()))],
+                ["doc_id", "n", "node", "bits", "wide"],
             )
 
-    return docs.mapInArrow(run, "doc_id long, n long, node long, bits array<long>")
+    return docs.mapInArrow(run, "doc_id long, n long, node long, bits array<long>, wide array<long>")
 
 
 def dealt(docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -171,30 +182,43 @@ def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
 
 def _linked(pairs: DataFrame, about: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of pairs (a, b), those whose sets are similar: first by size and parity bits, then on the sets."""
-    left = about.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a"))
-    right = about.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b"))
-    near = pairs.distinct().join(left, "a").join(right, "b").where(_may("n_a", "n_b", "bits_a", "bits_b", percent)).select("a", "b", "n_a", "n_b")
+    left, right = (about.select(F.col("node").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ABOUT)) for x in "ab")
+    near = pairs.distinct().join(left, "a").join(right, "b").where(_may("a", "b", percent)).select("a", "b", "n_a", "n_b")
     full = near.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("s_a")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("s_b")), "b")
     common = F.size(F.array_intersect("s_a", "s_b"))
     return full.where(100 * common >= percent * (F.col("n_a") + F.col("n_b") - common)).select("a", "b").distinct()
 
 
-def _may(n_a: str, n_b: str, bits_a: str, bits_b: str, percent: int) -> Column:
-    """Whether size and parity bits leave it open that two sets are similar."""
-    small, big = F.least(n_a, n_b), F.greatest(n_a, n_b)
-    apart = sum((F.bit_count(F.col(bits_a)[i].bitwiseXOR(F.col(bits_b)[i])) for i in range(1, BITS // 64)), F.bit_count(F.col(bits_a)[0].bitwiseXOR(F.col(bits_b)[0])))
-    # |A ^ B| <= (a + b) * (100 - p) / (100 + p) for a linked pair
-    return (100 * small >= percent * big) & (apart * (100 + percent) <= (F.col(n_a) + F.col(n_b)) * (100 - percent))
+ABOUT = ("n", "bits", "wide")
+
+
+def _may(a: str, b: str, percent: int) -> Column:
+    """Whether size and parity bits leave it open that two sets are similar. a, b: endings of the columns ABOUT."""
+    n_a, n_b, wide_a, wide_b = (F.col(f"{c}_{x}") for c in ("n", "wide") for x in (a, b))
+    most = (n_a + n_b) * (100 - percent)  # |A ^ B| <= (a + b) * (100 - p) / (100 + p) for a linked pair
+    apart = sum((F.bit_count(F.col(f"bits_{a}")[i].bitwiseXOR(F.col(f"bits_{b}")[i])) for i in range(1, BITS // 64)), F.bit_count(F.col(f"bits_{a}")[0].bitwiseXOR(F.col(f"bits_{b}")[0])))
+    size = F.least(F.size(wide_a), F.size(wide_b))
+    far = F.aggregate(F.zip_with(_folded(wide_a, size), _folded(wide_b, size), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    sized = 100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)
+    return sized & (apart * (100 + percent) <= most) & F.when(size > 0, far * (100 + percent) <= most).otherwise(F.lit(True))
+
+
+def _folded(bits: Column, size: Column) -> Column:
+    """A sketch of twice the size folded; sizes of similar sets differ no more than that."""
+    both = F.zip_with(F.slice(bits, F.lit(1), size), F.slice(bits, size + 1, size), lambda x, y: x.bitwiseXOR(y))
+    return F.when(F.size(bits) > size, both).otherwise(bits)
 
 
-def similar_groups(docs: DataFrame, size: int = 4, percent: int = 85, rounds: int = 2, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def similar_groups(docs: DataFrame, size: int = 4, percent: int = 85, rounds: int = 3, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """A row per document: doc_id, n_shingles, component_id, node, links' classes by label.
 
     Two documents link when 100 * |A & B| >= percent * |A | B| of their sets of distinct shingles of `size`
     words (A-Z lower-cased). Fewer words make one shingle; a text without words, or null, is empty and
     linked with nothing. component_id is the least doc_id that is reachable by links, a null doc_id coming
-    last. Repeated rows have the same component. An empty table gives none.
+    last. Repeated rows have the same component. An empty table gives none. percent: above 50.
     """
+    if not 50 < percent <= 100:
+        raise ValueError("percent is above 50, and 100 at most")
     spark = docs.sparkSession
     slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     every = stored(described(slim, size), scratch(spark, "sets"))
@@ -202,8 +226,8 @@ def similar_groups(docs: DataFrame, size: int = 4, percent: int = 85, rounds: in
     shared = dealt(slim, size, percent).withColumn("low", F.min("node").over(by_key)).withColumn("high", F.max("node").over(by_key)).where("low <> high")
     shared = stored(shared.select("key", "node").distinct(), scratch(spark, "shared"))
     wanted = shared.select("node").distinct()
-    nodes = every.where("n > 0").join(wanted, "node", "left_semi").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")).alias("first"), F.first("n").alias("n"), F.first("bits").alias("bits"))
-    nodes = stored(nodes.select("node", F.col("first.doc_id").alias("of"), "n", "bits"), scratch(spark, "nodes"))
+    nodes = every.where("n > 0").join(wanted, "node", "left_semi").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")).alias("first"), *(F.first(c).alias(c) for c in ABOUT))
+    nodes = stored(nodes.select("node", F.col("first.doc_id").alias("of"), *ABOUT), scratch(spark, "nodes"))
     texts = slim.join(nodes.select("node", "of"), F.col("doc_id").eqNullSafe(F.col("of")))
     sets = stored(sets_of(texts, size), scratch(spark, "shingles"))
     labels = None
@@ -214,17 +238,17 @@ def similar_groups(docs: DataFrame, size: int = 4, percent: int = 85, rounds: in
         # only blocks whose members aren't connected yet
         members = members.withColumn("low", F.min("label").over(by_key)).withColumn("high", F.max("label").over(by_key)).where("low <> high")
         if r < rounds:
-            drawn = members.withColumn("centre", F.min(F.struct(F.xxhash64("key", "node", F.lit(r)).alias("at"), "node", "label")).over(by_key))
+            drawn = members.withColumn("centre", F.min(F.struct(F.xxhash64("node", F.lit(r)).alias("at"), "node", "label")).over(by_key))
             pairs = drawn.where(F.col("label") != F.col("centre.label")).select(F.least("node", F.col("centre.node")).alias("a"), F.greatest("node", F.col("centre.node")).alias("b"))
         else:
-            about = members.join(nodes.select("node", "n", "bits"), "node").select("key", "node", "label", "n", "bits")
-            x, y = (about.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "label", "n", "bits"))) for s in "xy")
-            pairs = x.join(y, "key").where((F.col("node_x") < F.col("node_y")) & (F.col("label_x") != F.col("label_y")) & _may("n_x", "n_y", "bits_x", "bits_y", percent)).select(F.col("node_x").alias("a"), F.col("node_y").alias("b"))
+            about = members.join(nodes.select("node", *ABOUT), "node").select("key", "node", "label", *ABOUT)
+            x, y = (about.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "label", *ABOUT))) for s in "xy")
+            pairs = x.join(y, "key").where((F.col("node_x") < F.col("node_y")) & (F.col("label_x") != F.col("label_y")) & _may("x", "y", percent)).select(F.col("node_x").alias("a"), F.col("node_y").alias("b"))
         links = stored(_linked(pairs, nodes, sets, percent), scratch(spark, "found"))
         labels = components(links, labels)
     named = every.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = named.where("n > 0").groupBy("label").agg(F.min("doc_id").alias("least"))
-    joined = named.join(least, "label", "left")
+    joined = named.drop("bits", "wide").join(least, "label", "left")
     return joined.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"), "node", "label")
 
 

@@ -65,6 +65,15 @@ def test_other_thresholds_and_a_chain(make, prose):
     assert order(map(tuple, got)) == order(brute(rows, 5, 80))
 
 
+def test_long_texts_use_wide_sketches(make, prose):
+    rng = random.Random(8)
+    texts = prose(6, 8, least=500, most=1400, vocabulary=3000)
+    passage = " ".join(prose(1, 11, least=400, most=400, vocabulary=3000))
+    rows = list(enumerate([v for t in texts for v in (t, mangled(t, 12, rng), mangled(t, 25, rng), mangled(t, 60, rng), t + " " + passage, " ".join(t.split()[:-70]))]))
+    got = jaccard.similar_groups(make(rows), rounds=0).select("doc_id", "n_shingles", "component_id").collect()
+    assert order(map(tuple, got)) == order(brute(rows))
+
+
 def test_one_of_each_group_keeps_columns_and_wordless_texts(make, clash, prose):
     rows = corpus(prose, 3) + [(5000, ""), (5001, None), (5002, "  ")]
     docs = clash(make(rows))
