@@ -9,7 +9,7 @@ import os
 import duckdb
 import pytest
 
-from millrace.plans import cleansing, learning, models, reads, roles, streams  # noqa: F401
+from millrace.plans import cleansing, learning, lookups, models, reads, roles, streams  # noqa: F401
 
 DATA = "/root/testdata/sf0.001"
 
