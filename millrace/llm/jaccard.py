@@ -18,8 +18,8 @@ the symmetric difference, too, and rejects candidates before their sets are comp
 
 Documents with the same set are one node. Links between nodes are found in rounds: in each shared block the
 member that stands first in a random order of all nodes is compared with all others, which joins most of
-what belongs together, and compares few pairs as neighbouring blocks have the same first member; then
-whatever members of a block aren't connected yet are compared with each other, where size and parity bits allow.
+what belongs together, and compares few pairs as neighbouring blocks have the same first member. Rounds with
+an order of each block's own reach what is left over of large groups; then whatever members of a block aren't connected yet are compared with each other, where size and parity bits allow.
 """
 
 from __future__ import annotations
@@ -209,7 +209,7 @@ def _folded(bits: Column, size: Column) -> Column:
     return F.when(F.size(bits) > size, both).otherwise(bits)
 
 
-def similar_groups(docs: DataFrame, size: int = 4, percent: int = 85, rounds: int = 3, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def similar_groups(docs: DataFrame, size: int = 4, percent: int = 85, rounds: int = 5, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """A row per document: doc_id, n_shingles, component_id, node, links' classes by label.
 
     Two documents link when 100 * |A & B| >= percent * |A | B| of their sets of distinct shingles of `size`
@@ -238,14 +238,15 @@ def similar_groups(docs: DataFrame, size: int = 4, percent: int = 85, rounds: in
         # only blocks whose members aren't connected yet
         members = members.withColumn("low", F.min("label").over(by_key)).withColumn("high", F.max("label").over(by_key)).where("low <> high")
         if r < rounds:
-            drawn = members.withColumn("centre", F.min(F.struct(F.xxhash64("node", F.lit(r)).alias("at"), "node", "label")).over(by_key))
+            drawn = members.withColumn("centre", F.min(F.struct(F.xxhash64(*(["node"] if r < 2 else ["key", "node"]), F.lit(r)).alias("at"), "node", "label")).over(by_key))
             pairs = drawn.where(F.col("label") != F.col("centre.label")).select(F.least("node", F.col("centre.node")).alias("a"), F.greatest("node", F.col("centre.node")).alias("b"))
         else:
             about = members.join(nodes.select("node", *ABOUT), "node").select("key", "node", "label", *ABOUT)
             x, y = (about.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "label", *ABOUT))) for s in "xy")
             pairs = x.join(y, "key").where((F.col("node_x") < F.col("node_y")) & (F.col("label_x") != F.col("label_y")) & _may("x", "y", percent)).select(F.col("node_x").alias("a"), F.col("node_y").alias("b"))
         links = stored(_linked(pairs, nodes, sets, percent), scratch(spark, "found"))
-        labels = components(links, labels)
+        if labels is None or links.limit(1).count():
+            labels = components(links, labels)
     named = every.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = named.where("n > 0").groupBy("label").agg(F.min("doc_id").alias("least"))
     joined = named.drop("bits", "wide").join(least, "label", "left")
