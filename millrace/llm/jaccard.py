@@ -209,7 +209,7 @@ def _folded(bits: Column, size: Column) -> Column:
     return F.when(F.size(bits) > size, both).otherwise(bits)
 
 
-def similar_groups(docs: DataFrame, size: int = 4, percent: int = 85, rounds: int = 5, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def similar_groups(docs: DataFrame, size: int = 4, percent: int = 85, rounds: int = 3, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """A row per document: doc_id, n_shingles, component_id, node, links' classes by label.
 
     Two documents link when 100 * |A & B| >= percent * |A | B| of their sets of distinct shingles of `size`
@@ -238,7 +238,7 @@ def similar_groups(docs: DataFrame, size: int = 4, percent: int = 85, rounds: in
         # only blocks whose members aren't connected yet
         members = members.withColumn("low", F.min("label").over(by_key)).withColumn("high", F.max("label").over(by_key)).where("low <> high")
         if r < rounds:
-            drawn = members.withColumn("centre", F.min(F.struct(F.xxhash64(*(["node"] if r < 2 else ["key", "node"]), F.lit(r)).alias("at"), "node", "label")).over(by_key))
+            drawn = members.withColumn("centre", F.min(F.struct(F.xxhash64(*(["node"] if r == 0 else ["key", "node"]), F.lit(r)).alias("at"), "node", "label")).over(by_key))
             pairs = drawn.where(F.col("label") != F.col("centre.label")).select(F.least("node", F.col("centre.node")).alias("a"), F.greatest("node", F.col("centre.node")).alias("b"))
         else:
             about = members.join(nodes.select("node", *ABOUT), "node").select("key", "node", "label", *ABOUT)
