@@ -67,7 +67,12 @@ def plan(band: int, percent: int) -> tuple[int, int, int]:
     d = (100 - percent) * union // 100
     if d == 0:
         return 0, 1, 1
-    return (d, d + 4, 1) if d < 8 else (d, d + 5 + d // 12, 2)
+    if d < 8:
+        return d, d + 4, 1
+    k = d + 5 + d // 12
+    mean = largest(band) / RATIO / k  # shingles in a block of the smallest sets that take part
+    thin = k * np.exp(-mean) * (1 + mean)
+    return d, k, 2 if thin <= 1.3 * (k - d) else 1  # blocks of two only where enough of them are to be expected
 
 
 def blocks(u: np.ndarray, percent: int, plans: dict[int, tuple[int, int, int]]) -> np.ndarray:
@@ -86,7 +91,7 @@ def blocks(u: np.ndarray, percent: int, plans: dict[int, tuple[int, int, int]])
             enough = k - int(use.sum()) < k - d
             if not enough and seed == SEEDS - 1:
                 use[:] = True
-            place = np.flatnonzero(use)
+            place = np.flatnonzero(use)[: d + 1 if enough else k]  # the first d + 1 do: of them one agrees
             out.append(mixed(words[place] ^ mixed(place.astype(np.uint64) + np.uint64((band << 40) + (seed << 32)))))
             if enough:
                 break
