@@ -88,6 +88,10 @@ LABELLED = """
 
 #: Elements whose content is no text of the page.
 SILENT = frozenset("script style noscript template svg math textarea select button option iframe object canvas audio video head title".split())
+#: Those whose content is no markup, and what ends it.
+RAW = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I) for tag in ("script", "style", "textarea", "title", "noscript", "iframe")}
+#: Elements that stand in a head; any other one, or text, ends a head whose end tag is left out.
+HEAD = frozenset("base basefont bgsound head html link meta noscript script style template title".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that run on within a block of text.
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
@@ -167,10 +171,23 @@ def blocks(page: str) -> list[tuple[str, int, int, int, int]]:
         beside, article = stack[-1][1:] if stack else (0, 0)
         links = sum(s[0] == "a" for s in stack)
 
-    silent = None
-    for m in TAG.finditer(page):
-        if silent is None and m.start() > at:
-            text = page[at : m.start()]
+    silent = around = None  # around: a head that goes on behind a silent element in it
+
+    def tags() -> Iterator[re.Match]:
+        """Tags and comments in order; what stands in a RAW element is passed over."""
+        place = 0
+        while m := TAG.search(page, place):
+            yield m
+            place = m.end()
+            if m[2] and not m[1] and (raw := RAW.get(m[2].lower())) and silent not in ("svg", "math") and not m[3].endswith("/"):
+                end = raw.search(page, place)
+                place = end.start() if end else len(page)
+
+    for m in tags():
+        text = page[at : m.start()]
+        if silent == "head" and text.strip():
+            silent = None
+        if silent is None and text:
             parts.append(text)
             if links:
                 linked += len(WORDS.findall(text))
@@ -178,9 +195,15 @@ def blocks(page: str) -> list[tuple[str, int, int, int, int]]:
         if not m[2]:
             continue
         tag, end = m[2].lower(), bool(m[1])
+        if silent == "head":
+            if tag in ("body", "html", "br") if end else tag not in HEAD:
+                silent = None
+            elif not end and tag in SILENT and tag != "head" and not m[3].endswith("/"):
+                silent, around = tag, "head"
+                continue
         if silent is not None:
             if end and tag == silent:
-                silent = None
+                silent, around = around, None
             continue
         if tag in SILENT:
             if not end and not m[3].endswith("/"):
@@ -218,7 +241,7 @@ def blocks(page: str) -> list[tuple[str, int, int, int, int]]:
         beside, article = int(beside or bool(aside)), int(article or tag in ("article", "main"))
         stack.append((tag, beside, article))
         links += tag == "a"
-    if silent is None and at < len(page):
+    if at < len(page) and (silent is None or silent == "head" and page[at:].strip()):
         parts.append(page[at:])
     flush()
     return out

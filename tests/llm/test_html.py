@@ -34,3 +34,26 @@ def test_the_tree_fits_its_table():
     table = np.array([line.split() for line in html.LABELLED.split("\n") if line], float)
     tree = html.default_tree()
     assert np.mean([tree(r[:-1]) == r[-1] for r in table]) > 0.95
+
+
+BODY = "<article><p>The first words of the article stand here.</p>%s<p>And the last ones of it stand here.</p></article>"
+BOTH = "The first words of the article stand here.\nAnd the last ones of it stand here."
+
+
+def test_markup_in_raw_elements_ends_nothing():
+    for inside in (
+        "<script>for(i=0;i<n;i++){f()}</script>", "<SCRIPT type='x'>if (a<b) { s = \"<!--\" }</Script >", "<script>s = '<div class=\"' + c</script>", "<style>a:before{content:'<!--'}</style>",
+        "<textarea>a<b \" </textarea>", "<noscript><img alt='\"></noscript>", "<iframe><!-- </iframe>", "<template><script>a<b</script></template>", "<script>'</scripts>'</script>",
+        "<svg><title>x</svg>", "<script src='x'></script>",
+    ):
+        assert html.main_text("<html><body>" + BODY % inside + "</body></html>") == BOTH, inside
+        assert html.main_text("<html><head>" + inside * ("svg" not in inside) + "</head><body>" + BODY % "" + "</body></html>") == BOTH, inside
+    assert html.main_text(BODY % "<script>never ended <p>no text of the page</p>") == "The first words of the article stand here."
+
+
+def test_a_head_without_an_end():
+    for head in ("<head>", "<head><title>A title of some words</title>", "<HEAD><meta charset=utf-8><script>a<b</script><template><p>None of it at all, of course.</p></template>"):
+        for body in ("<body>", "", "</html>", "<!-- c -->"):
+            assert html.main_text(f"<!DOCTYPE html><html>{head}\n{body}" + BODY % "") == BOTH, (head, body)
+    assert [b[0] for b in html.blocks("<head><title>T</title>words of a page")] == ["words of a page"]
+    assert [b[0] for b in html.blocks("<head><title>T</title>words <b>of</b> a page")] == ["words of a page"]
