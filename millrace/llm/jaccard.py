@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.llm.common import scratch, small_batches, stored
 from millrace.llm.words import mixed, run_hashes, word_hashes
@@ -258,9 +259,35 @@ def similar_groups(docs: DataFrame, size: int = 4, percent: int = 85, rounds: in
     return joined.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"), "node", "label")
 
 
+def with_nodes(docs: DataFrame, size: int) -> DataFrame:
+    """docs with __node and __n, the set of a row's text and its size."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in small_batches(batches, "text", 1 << 20):
+            sets = list(shingle_sets(b.column("text"), size))
+            more = [pa.array([node_of(u) for u in sets], pa.int64()), pa.array([len(u) for u in sets], pa.int64())]
+            yield pa.RecordBatch.from_arrays([*b.columns, *more], [*b.schema.names, "__node", "__n"])
+
+    schema = docs.schema
+    return docs.mapInArrow(run, T.StructType([*schema.fields, T.StructField("__node", T.LongType()), T.StructField("__n", T.LongType())]))
+
+
 def one_of_each_group(docs: DataFrame, size: int = 5, percent: int = 80, **options) -> DataFrame:
-    """Of each group of similar documents the one of the least doc_id, with all its columns; documents without words stay."""
+    """Of each group of similar documents one row, with all its columns: that of the least doc_id, null last, then of the
+    least hash of its set of shingles; of rows alike in both, any one. Documents without words stay.
+
+    Rows whose doc_id no other row has are found by it. The sets of all others are made again, to tell them apart.
+    """
     groups = similar_groups(docs, size, percent, **options)
-    keep = groups.where(F.col("component_id").eqNullSafe(F.col("doc_id"))).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).select(F.col("doc_id").alias("__id"))
-    kept = docs.join(keep, docs["doc_id"].eqNullSafe(keep["__id"])).drop("__id")
-    return kept.select(*docs.columns)
+    groups = stored(groups.select("doc_id", "n_shingles", "node", "label"), scratch(docs.sparkSession, "groups"))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node"))
+    best = groups.where("n_shingles > 0").groupBy("label").agg(least.alias("best")).select(F.col("best.doc_id").alias("__id"), F.col("best.node").alias("__of"))
+    ids = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    again = ids.where("n > 1").select(F.col("doc_id").alias("__again"))
+    keep = best.select("__id").unionByName(groups.where("n_shingles = 0").select(F.col("doc_id").alias("__id")))
+    keep = keep.join(again, keep["__id"].eqNullSafe(again["__again"]), "left_anti")
+    doc_id = docs["doc_id"].cast("long")
+    alone = docs.join(keep, doc_id.eqNullSafe(keep["__id"])).select(*docs.columns)
+    rest = with_nodes(docs.join(again, doc_id.eqNullSafe(again["__again"]), "left_semi"), size)
+    found = rest.where("__n > 0").join(best, rest["doc_id"].cast("long").eqNullSafe(best["__id"]) & (rest["__node"] == best["__of"])).dropDuplicates(["__id", "__of"])
+    return alone.unionByName(found.select(*docs.columns)).unionByName(rest.where("__n = 0").select(*docs.columns))

@@ -99,3 +99,12 @@ def test_sketch_never_exceeds_the_difference():
         b = np.unique(np.concatenate([a[rng.random(len(a)) < 0.9], rng.integers(0, 1 << 62, 10).astype(np.uint64)]))
         difference = len(set(a.tolist()) ^ set(b.tolist()))
         assert sum(int(x).bit_count() for x in (jaccard.parity(a) ^ jaccard.parity(b)).view(np.uint64).tolist()) <= difference
+
+
+def test_one_of_each_group_whatever_the_ids(make, clash, prose):
+    a, b, c, d = prose(4, 9, least=60, most=90)
+    rows = [(5, a), (5, b), (7, b + " more"), (3, a + " more"), (None, c), (None, c + " more"), (None, d), (8, d), (9, ""), (9, None), (None, ""), (6, "only one here, of some words"), (6, "only one here, of some words")]
+    got = sorted(((r["doc_id"] is None, r["doc_id"] or 0, r["text"] or "") for r in jaccard.one_of_each_group(clash(make(rows))).collect()))
+    c_kept = [t for none, _, t in got if none and t]
+    assert len(c_kept) == 1 and c_kept[0] in (c, c + " more")
+    assert [x for x in got if x[2] not in c_kept] == sorted([(False, 3, a + " more"), (False, 5, b), (False, 8, d), (False, 6, "only one here, of some words"), (False, 9, ""), (False, 9, ""), (True, 0, "")])
