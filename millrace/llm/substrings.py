@@ -3,7 +3,8 @@
 A window is `window` words in a row. All windows of a corpus are too many to move, so each is represented
 by its least hash of ANCHOR words in a row: equal windows have equal anchors, and neighbours mostly share
 theirs. The index holds the anchors. Each batch of documents is fingerprinted where it lies and flushed as
-an immutable run sorted by fingerprint; compaction merge-joins the runs and adds up occurrences. Only
+an immutable run sorted by fingerprint; compaction adds up occurrences over all runs by an aggregation. A
+new batch isn't joined with earlier runs: incremental deduplication isn't built. Only
 windows whose anchor occurs twice can occur twice. Those windows are then verified one by one on 96 bits
 of hash over all their words, across the whole corpus: a count finds the windows that stand alone, which
 are few and come back with their one place. All others are repeats, and the words they cover are removed.
