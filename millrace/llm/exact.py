@@ -2,7 +2,7 @@
 
 Each task of `append` is a memtable: it sorts the digests of its documents and flushes them as one
 immutable sorted run (a Parquet file with a Bloom filter on the digest and min/max statistics, by which
-point and range lookups skip it). `compact` merges the runs: per digest it keeps the identifier that
+point and range lookups could skip it; none is made here). `compact` reads and merges all runs: per digest it keeps the identifier that
 stays, chosen as most code points, then smallest doc_id, and the number of rows. Digests met more than
 once are hits; hits are verified on the bytes of the normalised texts.
 """
