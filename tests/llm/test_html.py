@@ -44,7 +44,7 @@ def test_markup_in_raw_elements_ends_nothing():
     for inside in (
         "<script>for(i=0;i<n;i++){f()}</script>", "<SCRIPT type='x'>if (a<b) { s = \"<!--\" }</Script >", "<script>s = '<div class=\"' + c</script>", "<style>a:before{content:'<!--'}</style>",
         "<textarea>a<b \" </textarea>", "<noscript><img alt='\"></noscript>", "<iframe><!-- </iframe>", "<template><script>a<b</script></template>", "<script>'</scripts>'</script>",
-        "<svg><title>x</svg>", "<script src='x'></script>",
+        "<svg><title>x</svg>", "<script src='x'></script>", "<script>for(var i=0;i<n;i++){a()}</script>",
     ):
         assert html.main_text("<html><body>" + BODY % inside + "</body></html>") == BOTH, inside
         assert html.main_text("<html><head>" + inside * ("svg" not in inside) + "</head><body>" + BODY % "" + "</body></html>") == BOTH, inside
@@ -57,3 +57,37 @@ def test_a_head_without_an_end():
             assert html.main_text(f"<!DOCTYPE html><html>{head}\n{body}" + BODY % "") == BOTH, (head, body)
     assert [b[0] for b in html.blocks("<head><title>T</title>words of a page")] == ["words of a page"]
     assert [b[0] for b in html.blocks("<head><title>T</title>words <b>of</b> a page")] == ["words of a page"]
+
+
+def test_wrappers_of_any_name():
+    for name in ("page-header-wrap", "legal", "siteHeader", "banner", "content notice", "widget", "search"):
+        assert html.main_text(f'<body><div class="{name}">' + BODY % "" + "</div></body>") == BOTH, name
+        told = ["It is told at some length what the first of all things has been. " * 3, "And at some length, too, what has become of all the things behind it. " * 3]
+        plain, both = "".join(f"<p>{t}</p>" for t in told), "\n".join(t.strip() for t in told)
+        assert html.main_text(f'<body><div id="{name}"><h1>First of all</h1>{plain}</div></body>') == "First of all\n" + both, name
+        assert html.main_text(f"<body><div class={name.split()[0]}>{plain}</div></body>") == both, name
+    assert html.main_text('<body><form id="aspnetForm"><div class="sidebar-left">' + BODY % "" + "</div></form></body>") == BOTH
+    assert html.main_text("<body>" + BODY % '<div class="legal">Some rights reserved by none.</div><div class="comments"><p>A reader says some words.</p></div>' + "</body>") == BOTH
+    assert html.main_text("<body>" + BODY % "" + '<section class="comments"><article class="comment"><p>' + "A reader has to say a lot of words. " * 9 + "</p></article></section></body>") == BOTH
+    assert html.main_text('<body><div class="page-header">The name of the site</div>' + BODY % "" + '<form action="/"><p>Write your name here, please.</p></form></body>') == BOTH
+    assert html.main_text("<body>" + BODY % "<header><p>A header of the article itself.</p></header>" + "</body>").count("\n") == 2
+
+
+def test_formulas_stay():
+    got = html.main_text("<article><p>Of <math><mi>a</mi><mo>+</mo><mn>1</mn><annotation>a+1</annotation></math> it is told here.</p></article>")
+    assert got == "Of a+1 it is told here."
+
+
+def test_broken_and_long_pages_take_linear_time():
+    import time
+
+    for part in ('<a "', "<a b='", '<p c="', "<!--", "<!", "<?", "<", "</", "</p", "<b>", "<div class=comments>", "<p><b>", "</i>", "<script>", "<a href=x>y", "&amp", "<li><ul>", '<p title="a>b" \'>x</p>'):
+        took = []
+        for n in (4_000, 64_000):
+            began = time.process_time()
+            html.main_text("<article><p>some words</p>" + part * n)
+            took.append(time.process_time() - began)
+        assert took[1] < 40 * took[0] + 0.5, (part, took)
+    assert html.main_text(BODY % '<p title="a > b" class=x>A title holds a mark.</p>').split("\n")[1] == "A title holds a mark."
+    words = " ".join(f"w{i}" for i in range(200_000))
+    assert html.main_text(f"<article><p>{words}</p></article>") == words
