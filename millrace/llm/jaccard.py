@@ -5,7 +5,7 @@ are XORed into one word. A shingle that only one of two documents has changes on
 number of differing blocks is no more than the symmetric difference of the sets. Where the similarity asks
 for a symmetric difference of d at most, k > d blocks leave some that agree (pigeonhole), and documents
 are candidates where a block agrees. k follows from a band of set sizes; a document takes part in its own
-band and in that of the smallest partner it may have.
+band and in all bands down to that of the smallest partner it may have.
 
 Blocks of few shingles say little and could be shared by very many documents. They are not used: k has
 blocks to spare, and a document with more thin blocks than those deals its shingles again by another hash,
@@ -17,9 +17,11 @@ the symmetric difference, too, and rejects candidates before their sets are comp
 1024 bits have a wider one, of two bits for each shingle at least; of two widths the wider one is folded.
 
 Documents with the same set are one node. Links between nodes are found in rounds: in each shared block the
-member that stands first in a random order of all nodes is compared with all others, which joins most of
-what belongs together, and compares few pairs as neighbouring blocks have the same first member. Rounds with
-an order of each block's own reach what is left over of large groups; then whatever members of a block aren't connected yet are compared with each other, where size and parity bits allow.
+members that stand first in a random order, the centres, are compared with all others and then leave the block;
+blocks whose members are all connected, or compared, go. The first round has one centre a block and one order
+for all blocks, so neighbouring blocks compare the same pairs; later rounds have an order of each block's own,
+and more centres in blocks of many members. A round ends with the classes that its links make. So most blocks
+are done after one centre, a block is never paired with itself, and what is left of large groups shrinks by rounds.
 """
 
 from __future__ import annotations
@@ -79,7 +81,7 @@ def plan(band: int, percent: int) -> tuple[int, int, int]:
 def blocks(u: np.ndarray, percent: int, plans: dict[int, tuple[int, int, int]]) -> np.ndarray:
     """The keys of a set's blocks, in every band and round in which it takes part."""
     n, out = len(u), []
-    for band in {band_of(n), band_of(-(-percent * n // 100))} if n else ():
+    for band in range(band_of(-(-percent * n // 100)), band_of(n) + 1) if n else ():
         if band not in plans:
             plans[band] = plan(band, percent)
         d, k, least = plans[band]
@@ -153,11 +155,17 @@ def dealt(docs: DataFrame, size: int, percent: int) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, size: int) -> DataFrame:
-    """node, shingles (array of long), of docs (node, text); rows whose text has another set are left out."""
+    """node, shingles (array of long), of docs (node, text); rows whose text has another set are left out, and a set comes once from a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for b in small_batches(batches, "text", 1 << 20):
-            sets = [u if node_of(u) == node else None for u, node in zip(shingle_sets(b.column("text"), size), b.column("node").to_pylist(), strict=True)]
+            sets = []
+            for u, node in zip(shingle_sets(b.column("text"), size), b.column("node").to_pylist(), strict=True):
+                fits = node not in seen and node_of(u) == node
+                sets.append(u if fits else None)
+                if fits:
+                    seen.add(node)
             got = pa.RecordBatch.from_arrays([b.column("node"), pa.array([None if u is None else u.astype(np.int64) for u in sets], pa.list_(pa.int64()))], ["node", "shingles"])
             yield got.filter(got.column("shingles").is_valid())
 
@@ -215,7 +223,36 @@ def _folded(bits: Column, size: Column) -> Column:
     return F.when(F.size(bits) > size, both).otherwise(bits)
 
 
-def similar_groups(docs: DataFrame, size: int = 4, percent: int = 85, rounds: int = 3, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def _rounds(shared: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, rounds: int) -> DataFrame:
+    """node, label: the classes of all nodes with a link. shared: key, node, the members of blocks; nodes: node and ABOUT; sets: node, shingles.
+    A block has one centre in the first `rounds` rounds, then 2, 8, 32 and so on."""
+    spark, labels, r = shared.sparkSession, None, 0
+    by_key = Window.partitionBy("key")
+    left = shared
+    while True:
+        members = left.withColumn("label", F.col("node")) if labels is None else left.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        members = members.withColumn("low", F.min("label").over(by_key)).withColumn("high", F.max("label").over(by_key)).where("low <> high")
+        few = 1 if r < rounds else 2 * 4 ** (r - rounds)
+        order = F.xxhash64(*(["node"] if r == 0 else ["key", "node"]), F.lit(r))
+        if few == 1:
+            drawn = members.withColumn("centre", F.min(F.struct(order.alias("at"), "node", "label")).over(by_key))
+            pairs = drawn.where(F.col("label") != F.col("centre.label")).select(F.col("node").alias("x"), F.col("centre.node").alias("y"))
+            rest = drawn.where(F.col("node") != F.col("centre.node"))
+        else:
+            placed = stored(members.withColumn("nth", F.row_number().over(by_key.orderBy(order, "node"))).select("key", "node", "label", "nth"), scratch(spark, "placed"))
+            centres = placed.where(F.col("nth") <= few).select("key", F.col("node").alias("y"), F.col("label").alias("label_y"), F.col("nth").alias("nth_y"))
+            pairs = placed.join(centres, "key").where((F.col("nth") > F.col("nth_y")) & (F.col("label") != F.col("label_y"))).select(F.col("node").alias("x"), "y")
+            rest = placed.where(F.col("nth") > few)
+        links = stored(_linked(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")), nodes, sets, percent), scratch(spark, "found"))
+        if labels is None or links.limit(1).count():
+            labels = components(links, labels)
+        left = stored(rest.select("key", "node"), scratch(spark, "left"))
+        r += 1
+        if not left.limit(1).count():
+            return labels
+
+
+def similar_groups(docs: DataFrame, size: int = 4, percent: int = 85, rounds: int = 2, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """A row per document: doc_id, n_shingles, component_id, node, links' classes by label.
 
     Two documents link when 100 * |A & B| >= percent * |A | B| of their sets of distinct shingles of `size`
@@ -234,25 +271,14 @@ def similar_groups(docs: DataFrame, size: int = 4, percent: int = 85, rounds: in
     wanted = shared.select("node").distinct()
     nodes = every.where("n > 0").join(wanted, "node", "left_semi").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")).alias("first"), *(F.first(c).alias(c) for c in ABOUT))
     nodes = stored(nodes.select("node", F.col("first.doc_id").alias("of"), *ABOUT), scratch(spark, "nodes"))
-    texts = slim.join(nodes.select("node", "of"), F.col("doc_id").eqNullSafe(F.col("of")))
-    sets = stored(sets_of(texts, size), scratch(spark, "shingles"))
-    labels = None
-    for r in range(rounds + 1):
-        members = shared if labels is None else shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        if labels is None:
-            members = members.withColumn("label", F.col("node"))
-        # only blocks whose members aren't connected yet
-        members = members.withColumn("low", F.min("label").over(by_key)).withColumn("high", F.max("label").over(by_key)).where("low <> high")
-        if r < rounds:
-            drawn = members.withColumn("centre", F.min(F.struct(F.xxhash64(*(["node"] if r == 0 else ["key", "node"]), F.lit(r)).alias("at"), "node", "label")).over(by_key))
-            pairs = drawn.where(F.col("label") != F.col("centre.label")).select(F.least("node", F.col("centre.node")).alias("a"), F.greatest("node", F.col("centre.node")).alias("b"))
-        else:
-            about = members.join(nodes.select("node", *ABOUT), "node").select("key", "node", "label", *ABOUT)
-            x, y = (about.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "label", *ABOUT))) for s in "xy")
-            pairs = x.join(y, "key").where((F.col("node_x") < F.col("node_y")) & (F.col("label_x") != F.col("label_y")) & _may("x", "y", percent)).select(F.col("node_x").alias("a"), F.col("node_y").alias("b"))
-        links = stored(_linked(pairs, nodes, sets, percent), scratch(spark, "found"))
-        if labels is None or links.limit(1).count():
-            labels = components(links, labels)
+    often = every.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select(F.col("doc_id").alias("often"))
+    wanted = stored(nodes.select("node", "of").join(often, F.col("of").eqNullSafe(F.col("often")), "left").select("node", "of", (F.col("often").isNotNull() | F.col("of").isNull()).alias("again")), scratch(spark, "wanted"))
+    texts = slim.join(wanted, F.col("doc_id").eqNullSafe(F.col("of")))
+    sets = sets_of(texts.where("NOT again"), size)
+    if wanted.where("again").limit(1).count():  # several rows have the doc_id, and may have the same set
+        sets = sets.unionByName(sets_of(texts.where("again"), size).groupBy("node").agg(F.first("shingles").alias("shingles")))
+    sets = stored(sets, scratch(spark, "shingles"))
+    labels = _rounds(shared, nodes, sets, percent, rounds)
     named = every.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = named.where("n > 0").groupBy("label").agg(F.min("doc_id").alias("least"))
     joined = named.drop("bits", "wide").join(least, "label", "left")

@@ -108,3 +108,25 @@ def test_one_of_each_group_whatever_the_ids(make, clash, prose):
     c_kept = [t for none, _, t in got if none and t]
     assert len(c_kept) == 1 and c_kept[0] in (c, c + " more")
     assert [x for x in got if x[2] not in c_kept] == sorted([(False, 3, a + " more"), (False, 5, b), (False, 8, d), (False, 6, "only one here, of some words"), (False, 9, ""), (False, 9, ""), (True, 0, "")])
+
+
+def test_every_threshold(make, prose):
+    rng = random.Random(4)
+    texts = []
+    for t in prose(25, 14, least=10, most=90):
+        texts += [t] + [mangled(t, max(1, int(len(t.split()) * rng.uniform(0.005, 0.09))), rng) for _ in range(3)] + [" ".join(t.split()[: int(len(t.split()) * rng.uniform(0.45, 1))])]
+    rows = list(enumerate(texts))
+    for percent in (51, 60, 65, 75, 95, 100):
+        got = jaccard.similar_groups(make(rows), size=3, percent=percent).select("doc_id", "n_shingles", "component_id").collect()
+        assert order(map(tuple, got)) == order(brute(rows, 3, percent)), percent
+
+
+def test_many_rows_of_one_id_and_a_block_without_links(make, prose):
+    a, b = prose(2, 21, least=60, most=60)
+    rows = [(1, a)] * 4000 + [(None, a + " more")] * 1000 + [(2, b), (3, b + " more")]
+    got = jaccard.similar_groups(make(rows), size=5, percent=80)
+    assert sorted(map(tuple, got.groupBy("component_id").count().collect())) == [(1, 5000), (2, 2)]
+    rng = random.Random(6)  # a passage in all of them, and too much else
+    many = [(i, " ".join(a.split()[:40] + [f"w{rng.randrange(10**6)}" for _ in range(10)])) for i in range(150)]
+    got = jaccard.similar_groups(make(many)).select("doc_id", "n_shingles", "component_id").collect()
+    assert order(map(tuple, got)) == order(brute(many))
