@@ -4,8 +4,9 @@ Documents are encoded where they lie and cut only where they are longer than a s
 piece is a sequence by itself. The other pieces are dealt at random into shards of about `shard_size`;
 each shard is a problem for several islands, which run apart as rows of a DataFrame. A chromosome is the
 list of groups (bins). Crossover injects whole well-filled bins of one parent into the other, removes the
-bins that hold the same documents, and puts the displaced ones back by best fit; mutation does so after
-emptying the least filled bins. Between rounds each island hands its elite to the next one of its ring.
+bins that hold the same documents, and puts the displaced ones back: longer ones change places with shorter
+ones where that fills a bin, the others by best fit; mutation does so after emptying the least filled bins.
+An island ends at a proven lower bound of the number of bins. Between rounds each island hands its elite to the next one of its ring.
 The best packing of a shard stays. Bins of all shards that are less than full go into one more pass
 together, so that each shard's last bins don't add up.
 """
@@ -24,6 +25,10 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import rows, scratch, small_batches, stored, token_ids
 
+#: Bins that a change of a packing touches, whatever its size.
+CHANGED = 24
+#: Tasks that evolve islands, at most.
+TASKS = 4096
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -77,32 +82,94 @@ def best_fit(lengths: np.ndarray, order: np.ndarray, bins: np.ndarray, fill: lis
     return fill
 
 
+def filled(lengths: np.ndarray, size: int) -> np.ndarray:
+    """A packing that opens a bin for the longest item left and fills its room exactly, by one item or two, where it can."""
+    order = np.argsort(lengths, kind="stable")
+    n = np.bincount(lengths, minlength=size + 1)
+    end = np.cumsum(n)  # items of a length are order[end - n : end]
+    out, b, longest = np.empty(len(lengths), "int64"), 0, size
+
+    def take(length: int) -> None:
+        n[length] -= 1
+        out[order[end[length] - n[length] - 1]] = b
+
+    for _ in range(len(lengths)):
+        while longest and not n[longest]:
+            longest -= 1
+        if not longest:
+            break
+        take(longest)
+        room = size - longest
+        while room:
+            if n[room]:
+                take(room)
+                break
+            half = room // 2
+            both = np.minimum(n[1 : half + 1], n[room - 1 : room - half - 1 : -1])
+            if room % 2 == 0 and half:
+                both[-1] = n[half] // 2
+            fits = np.flatnonzero(both)
+            if len(fits):
+                take(int(fits[-1]) + 1)
+                take(room - int(fits[-1]) - 1)
+                break
+            below = np.flatnonzero(n[: room + 1])
+            if not len(below):
+                break
+            take(int(below[-1]))
+            room -= int(below[-1])
+        b += 1
+    return out
+
+
 def _tidy(bins: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Numbers the bins from 0; their fills."""
     _, bins = np.unique(bins, return_inverse=True)
     return bins, np.bincount(bins, weights=lengths).astype("int64")
 
 
+def swapped(loose: np.ndarray, bins: np.ndarray, fill: np.ndarray, lengths: np.ndarray, size: int) -> np.ndarray:
+    """Puts loose items, longest first, in the place of the shortest item that leaves room for them in its bin; returns
+    the items that are loose then. Changes bins and fill."""
+    out = []
+    room = np.where(bins >= 0, (size - fill)[np.maximum(bins, 0)], -1) + lengths  # what each place could hold
+    for i in loose[np.argsort(-lengths[loose], kind="stable")].tolist():
+        n = lengths[i]
+        gain = np.where((room >= n) & (bins >= 0), n - lengths, 0)
+        j = int(gain.argmax())
+        if gain[j] <= 0:
+            out.append(i)
+            continue
+        b = bins[j]
+        bins[i], bins[j] = b, -1
+        fill[b] += gain[j]
+        room[bins == b] -= gain[j]
+        room[i] = size - fill[b] + n
+        out.append(j)
+    return np.array(out, "int64")
+
+
 def refit(keep: np.ndarray, bins: np.ndarray, lengths: np.ndarray, size: int) -> np.ndarray:
-    """Keeps the bins of the items in keep and best-fits the others, longest first."""
+    """Keeps the bins of the items in keep, lets longer displaced items change places with shorter ones in them, and
+    best-fits what is loose then, longest first."""
     out = np.full(len(bins), -1, "int64")
-    fill: list[int] = []
+    fills = np.zeros(0, "int64")
+    loose = np.flatnonzero(~keep)
     if keep.any():
         out[keep], fills = _tidy(bins[keep], lengths[keep])
-        fill = fills.tolist()
-    loose = np.flatnonzero(~keep)
-    best_fit(lengths, loose[np.argsort(-lengths[loose], kind="stable")], out, fill, size)
+        loose = swapped(loose, out, fills, lengths, size)
+    best_fit(lengths, loose[np.argsort(-lengths[loose], kind="stable")], out, fills.tolist(), size)
     return out
 
 
 def crossed(a: np.ndarray, b: np.ndarray, lengths: np.ndarray, size: int, rng: np.random.Generator) -> np.ndarray:
-    """A child of a that receives a share of b's well-filled bins whole."""
+    """A child of a that receives some of b's full bins, or fullest ones, whole."""
     fill = np.bincount(b, weights=lengths)
     good = np.flatnonzero(fill >= min(size, max(0.99 * size, np.median(fill))))
     if not len(good):
         return a
     take = np.zeros(len(fill), bool)
-    take[rng.choice(good, max(1, len(good) // 3), replace=False)] = True
+    take[rng.choice(good, min(len(good), CHANGED), replace=False)] = True
     injected = take[b]
     hit = np.zeros(int(a.max()) + 1, bool)
     hit[a[injected]] = True  # bins of a that hold the same documents
@@ -114,7 +181,7 @@ def crossed(a: np.ndarray, b: np.ndarray, lengths: np.ndarray, size: int, rng: n
 def mutated(a: np.ndarray, lengths: np.ndarray, size: int, rng: np.random.Generator) -> np.ndarray:
     """Empties the least filled bins and as many others."""
     fill = np.bincount(a, weights=lengths)
-    few = max(2, len(fill) // 20)
+    few = min(CHANGED, max(2, len(fill) // 20))
     out = np.zeros(len(fill), bool)
     out[np.argsort(fill)[:few]] = True
     out[rng.integers(0, len(fill), few)] = True
@@ -122,29 +189,50 @@ def mutated(a: np.ndarray, lengths: np.ndarray, size: int, rng: np.random.Genera
 
 
 def fitness(a: np.ndarray, lengths: np.ndarray, size: int) -> tuple[int, float]:
-    """Smaller is better: bins, then how evenly they are filled."""
+    """Smaller is better: bins, then how unevenly they are filled; full bins and empty ones are liked, half full ones aren't."""
     fill = np.bincount(a, weights=lengths)
     return len(fill), -float(np.square(fill / size).sum())
 
 
+def least_bins(lengths: np.ndarray, size: int) -> int:
+    """Bins that any packing needs: for each k, items above size - k are alone, those above size / 2 too but for items below k, and what room they leave can't hold all items of k to size / 2."""
+    n = np.bincount(lengths, minlength=size + 1)
+    above = lambda x: np.concatenate([np.cumsum(x[::-1])[::-1], [0]])  # noqa: E731  (of lengths from each on)
+    count, total = above(n), above(n * np.arange(size + 1))
+    half = size // 2 + 1
+    k = np.arange(half)
+    room = (count[half] - count[size - k + 1]) * size - (total[half] - total[size - k + 1])
+    rest = total[k] - total[half] - room
+    return int((count[half] + np.maximum(0, -(-rest // size))).max())
+
+
 def evolve(lengths: np.ndarray, size: int, elites: list[np.ndarray], seed: list[int], population: int, generations: int) -> np.ndarray:
-    """One island for one round. It ends early at the least number of bins that the lengths allow."""
-    rng, least = np.random.default_rng(seed), -(-int(lengths.sum()) // size)
-    herd = list(elites)
-    while len(herd) < population:
-        noise = rng.normal(0, 0 if not herd else 0.02 * size, len(lengths))
-        bins = np.full(len(lengths), -1, "int64")
-        best_fit(lengths, np.argsort(-(lengths + noise), kind="stable"), bins, [], size)
-        herd.append(bins)
-    ranked = sorted(((fitness(h, lengths, size), i, h) for i, h in enumerate(herd)), key=lambda x: x[:2])
+    """One island for one round. It ends early at `least_bins`."""
+    rng, least = np.random.default_rng(seed), least_bins(lengths, size)
+    ranked: list = []
+
+    def met(bins: np.ndarray, no: int) -> bool:
+        ranked.append((fitness(bins, lengths, size), no, bins))
+        ranked.sort(key=lambda x: x[:2])
+        del ranked[population:]
+        return ranked[0][0][0] <= least
+
+    for i in range(population):
+        if i < len(elites):
+            bins = elites[i]
+        elif i == 1:
+            bins = filled(lengths, size)
+        else:
+            noise = rng.normal(0, 0 if i == 0 else 0.02 * size, len(lengths))
+            bins = np.full(len(lengths), -1, "int64")
+            best_fit(lengths, np.argsort(-(lengths + noise), kind="stable"), bins, [], size)
+        if met(bins, i):
+            return ranked[0][2]
     for g in range(generations):
-        if ranked[0][0][0] <= least:
+        i, j = sorted(rng.choice(len(ranked), 2, replace=False)) if len(ranked) > 1 else (0, 0)
+        child = crossed(ranked[i][2], ranked[j][2], lengths, size, rng) if g % 2 else mutated(ranked[i][2], lengths, size, rng)
+        if met(child, population + g):
             break
-        i, j = rng.choice(len(ranked), 2, replace=False) if len(ranked) > 1 else (0, 0)
-        child = crossed(ranked[min(i, j)][2], ranked[max(i, j)][2], lengths, size, rng)
-        if g % 2:
-            child = mutated(child, lengths, size, rng)
-        ranked = sorted([*ranked, (fitness(child, lengths, size), population + g, child)], key=lambda x: x[:2])[:population]
     return ranked[0][2]
 
 
@@ -169,7 +257,7 @@ def _packed(items: DataFrame, size: int, shards: int, tag: int, islands: int, ro
                     out.append((x.shard, x.island, n, even, best.astype("<u4").tobytes()))
                 yield pd.DataFrame(out, columns=["shard", "island", "bins", "even", "elite"])
 
-        elites = state.repartition("shard", "island").mapInPandas(run, "shard long, island int, bins long, even double, elite binary")
+        elites = state.repartition(min(TASKS, shards * islands), "shard", "island").mapInPandas(run, "shard long, island int, bins long, even double, elite binary")
         elites = stored(elites, scratch(spark, "elites"))
         own = elites.select("shard", "island", F.col("elite").alias("own"))
         guest = elites.select("shard", ((F.col("island") + 1) % islands).alias("island"), F.col("elite").alias("guest"))
@@ -191,7 +279,7 @@ def _packed(items: DataFrame, size: int, shards: int, tag: int, islands: int, ro
     return problems.join(best, "shard").mapInPandas(placed, f"{PIECE}, slot long, sequence_id long, offset long, fill long")
 
 
-def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, size: int = 2048, shard_size: int = 8192, islands: int = 3, rounds: int = 2, population: int = 6, generations: int = 14, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, size: int = 2048, shard_size: int = 8192, islands: int = 3, rounds: int = 2, population: int = 6, generations: int = 100, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """A row per piece: PIECE, sequence_id, offset. Sequences are gapless from offset 0 and hold `size` ids at most.
     An empty table gives none. Repeated rows and a null doc_id are packed like any other."""
     spark = docs.sparkSession
@@ -203,8 +291,6 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, size: int = 2048, sha
     n = short.count()
     shards = max(1, -(-n // shard_size))
     first = stored(_packed(short, size, shards, 0, **options), scratch(spark, "packed"))
-    if shards == 1:
-        return full.select(columns).unionByName(first.select(columns))
     tight = F.col("fill") >= F.lit(int(0.99 * size))
     loose = first.where(~tight)
     again = _packed(loose.select(*short.columns), size, max(1, -(-loose.count() // shard_size)), 1, **options)

@@ -56,3 +56,42 @@ def test_crossover_keeps_every_item_in_one_bin():
     a, b = (packing.refit(np.zeros(400, bool), np.full(400, -1), lengths + rng.integers(0, 1), 100) for _ in range(2))
     for child in (packing.crossed(a, b, lengths, 100, rng), packing.mutated(a, lengths, 100, rng)):
         assert (child >= 0).all() and np.bincount(child, weights=lengths).max() <= 100
+
+
+def fewest(lengths, size):
+    """By trying everything."""
+    best = [len(lengths)]
+
+    def place(i, bins):
+        if len(bins) >= best[0]:
+            return
+        if i == len(lengths):
+            best[0] = len(bins)
+            return
+        for k in range(len(bins)):
+            if bins[k] + lengths[i] <= size and bins[k] not in bins[:k]:
+                place(i + 1, bins[:k] + [bins[k] + lengths[i]] + bins[k + 1 :])
+        place(i + 1, [*bins, lengths[i]])
+
+    place(0, [])
+    return best[0]
+
+
+def test_small_problems_are_solved_to_the_optimum():
+    rng = np.random.default_rng(5)
+    for k in range(25):
+        lengths = -np.sort(-rng.integers(1, 20, 11))
+        got = packing.evolve(lengths, 20, [], [k], 6, 200)
+        want = fewest(lengths.tolist(), 20)
+        assert np.bincount(got, weights=lengths).max() <= 20 and got.min() >= 0
+        assert packing.least_bins(lengths, 20) <= want == packing.fitness(got, lengths, 20)[0]
+
+
+def test_better_than_best_fit_and_near_the_bound():
+    rng = np.random.default_rng(1)
+    kinds = (rng.integers(1, 2048, 4096), np.clip(rng.lognormal(5.6, 0.9, 4096).astype(int), 1, 2047), rng.integers(600, 1301, 4096))
+    for k, lengths in enumerate(kinds):
+        bins = np.full(4096, -1, "int64")
+        simple = len(packing.best_fit(lengths, np.argsort(-lengths, kind="stable"), bins, [], 2048))
+        got, least = packing.fitness(packing.evolve(lengths, 2048, [], [k], 6, 100), lengths, 2048)[0], packing.least_bins(lengths, 2048)
+        assert least <= got <= 1.005 * least and (got < simple or simple <= 1.003 * least)
