@@ -60,6 +60,10 @@ def mixture(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), max_epochs: f
     repeats; they count nothing. Rows with the same doc_id share their place in the order. An empty table
     gives an empty result.
     """
+    return _placed(docs, weights, max_epochs, seed, text, source, doc_id).drop("source")
+
+
+def _placed(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), max_epochs: float = 3, seed: str = "mix", text: str = "text", source: str = "source", doc_id: str = "doc_id") -> DataFrame:
     spread = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
     sized = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), words_in(F.col(text)).alias("size")).withColumn("place", spread)
     # the texts are read once; from here on rows are small
@@ -80,12 +84,23 @@ def mixture(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), max_epochs: f
     middle = F.col("slice_start") + F.coalesce(F.sum("size").over(inside), F.lit(0)) + F.col("size") / 2
     extra = F.when(F.col("ends"), middle < F.col("part")).otherwise(F.col("slice_start") + F.col("slice_size") <= F.col("part"))
     repeats = F.least(F.col("whole") + extra.cast("long"), F.lit(int(max_epochs))).cast("long")
-    return joined.select("doc_id", "size", "source_size", "target", repeats.alias("repeats"), (repeats * F.col("size")).alias("taken"))
+    return joined.select("doc_id", "source", "size", "source_size", "target", repeats.alias("repeats"), (repeats * F.col("size")).alias("taken"))
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
-    """The documents as the mixture takes them: each row as many times as it is repeated, with all its columns."""
-    taken = mixture(docs, **options).groupBy(F.col("doc_id").alias("__id")).agg(F.max("repeats").alias("__n"))
-    joined = docs.join(taken, docs["doc_id"].eqNullSafe(taken["__id"]))
-    again = joined.where("__n > 0").withColumn("__k", F.explode(F.expr("sequence(1, int(__n))")))
-    return again.select(*[again[c] for c in docs.columns])
+    """The documents as the mixture takes them: each row as many times as it is repeated, with all its columns. An empty table gives none.
+
+    Rows are found by doc_id, source and size; a null is a value. Of rows alike in these, as many are taken once more as in the
+    mixture: one group of a source at most is cut so, and its rows are numbered by a hash of their texts.
+    """
+    rows = _placed(docs, **options)
+    groups = rows.groupBy("doc_id", "source", "size").agg(F.min("repeats").alias("low"), F.max("repeats").alias("high"), F.sum("repeats").alias("all"), F.count(F.lit(1)).alias("n"))
+    groups = stored(groups.select(F.col("doc_id").alias("id"), F.col("source").alias("of"), F.col("size").alias("long"), "low", "high", (F.col("all") - F.col("low") * F.col("n")).alias("more")), scratch(docs.sparkSession, "mixed"))
+    whole = docs.select(F.struct(*docs.columns).alias("row"), docs["doc_id"].alias("doc_id"), docs["source"].alias("source"), words_in(docs["text"]).alias("size"))
+    joined = whole.join(groups.where("high > 0"), F.col("doc_id").eqNullSafe(F.col("id")) & F.col("source").eqNullSafe(F.col("of")) & (F.col("size") == F.col("long")))
+    even = joined.where("low = high").select("row", F.col("low").alias("times"))
+    if groups.where("low < high").limit(1).count():
+        nth = F.row_number().over(Window.partitionBy("id", "of", "long").orderBy(F.xxhash64("row.text")))
+        cut = joined.where("low < high").select("row", "low", "high", "more", nth.alias("nth"))
+        even = even.unionByName(cut.select("row", F.when(F.col("nth") <= F.col("more"), F.col("high")).otherwise(F.col("low")).alias("times")))
+    return even.where("times > 0").select("row", F.explode(F.expr("sequence(1, int(times))")).alias("k")).select("row.*")

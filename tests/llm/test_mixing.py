@@ -43,3 +43,18 @@ def test_the_mix_has_repeats_and_all_columns(make, clash, prose):
     taken = {r["doc_id"]: r["repeats"] for r in mixing.mixture(docs).collect()}
     assert out.columns == docs.columns and out.count() == sum(taken.values())
     assert mixing.mixture(make([])).count() == 0 and mixing.mix(make([])).count() == 0
+
+
+def test_rows_of_one_id_are_taken_as_in_the_mixture(make, clash, prose):
+    from collections import Counter
+
+    texts = prose(60, 2)
+    rows = [(i % 7 if i % 3 else None, t, "a" if i % 20 else None) for i, t in enumerate(texts)] + [(5, "the same words", "b")] * 90 + [(None, None, None), (5, "", "a")]
+    docs = clash(make(rows))
+    want, got = Counter(), Counter()
+    for r in mixing.mixture(docs).collect():
+        want[(r["doc_id"], r["size"], r["source_size"])] += r["repeats"]
+    sizes = {r["source"]: r["source_size"] for r in mixing._placed(docs).collect()}
+    for r in mixing.mix(docs).collect():
+        got[(r["doc_id"], len((r["text"] or "").split()), sizes[r["source"]])] += 1
+    assert got == +want

@@ -48,3 +48,15 @@ def test_each_stage_takes_effect(spark, tmp_path, prose):
 def test_empty_tables(spark, tmp_path):
     d = write(spark, tmp_path, [], [])
     assert corpus_pipeline.run(spark, d).count() == 0
+
+
+def test_nulls_clashing_columns_and_no_labels(spark, tmp_path, prose, clash):
+    texts = prose(40, 9, least=20, most=60)
+    rows = [(i if i % 5 else None, t, None if i % 4 == 0 else f"s{i % 3}") for i, t in enumerate(texts)] + [(7, texts[7], "s1"), (None, None, None), (None, "", "s0"), (8, texts[3] + " more", "s2")]
+    docs = clash(spark.read.parquet(os.path.join(write(spark, tmp_path, rows, []), "documents.parquet")))
+    kept = [docs.count()]
+    for name, stage in corpus_pipeline.STAGES:
+        columns, docs = docs.columns, stored(stage(spark, docs, str(tmp_path)), scratch(spark, f"odd-{name}"))
+        kept.append(docs.count())
+        assert name == "pack_sequences" or docs.columns == columns
+    assert kept[:4] == [44, 44, 42, 41] and docs.where("piece = 0").count() == kept[4] > 0
