@@ -17,10 +17,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.common import SPACE, scratch, stored
+from millrace.llm.runs import Runs, sorted_run
 
 RUN = "digest long, sha string, keep_id long, keep_size long, group_size long"
-#: Runs of a level that are compacted into one of the next.
-FAN = 4
 #: Digests that a lookup pushes down, at most; and how many in one scan (Parquet readers turn longer lists into ranges).
 FEW, TOGETHER = 60, 10
 
@@ -36,37 +35,17 @@ def digested(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Dat
     return words.select(F.xxhash64("words").alias("digest"), F.sha2(F.col("words").cast("binary"), 256).alias("sha"), "doc_id", "size")
 
 
-class DigestIndex:
-    """Sorted runs below `path`, by level."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path, self.levels, self.made = spark, path, [[]], 0
+class DigestIndex(Runs):
+    """Runs of RUN, sorted by digest."""
 
     @classmethod
     def open(cls, spark: SparkSession, path: str) -> DigestIndex:
         """The index that an earlier job left at path."""
-        self, listed = cls(spark, path), spark.read.parquet(f"{path}/manifest")
-        now = listed.where(F.col("made") == listed.agg(F.max("made")).first()[0]).orderBy("level", "place").collect()  # FAN runs a level
-        self.made, self.levels = now[0]["made"], [[r["run"] for r in now if r["level"] == k and r["run"]] for k in range(now[-1]["level"] + 1)]
-        return self
-
-    def _list(self) -> None:
-        rows = [(self.made, level, place, run) for level, runs in enumerate(self.levels) for place, run in enumerate(runs or [""])]
-        self.spark.createDataFrame(rows, "made long, level int, place int, run string").coalesce(1).write.mode("append").parquet(f"{self.path}/manifest")
-
-    def _flush(self, df: DataFrame, level: int, ranged: bool) -> str:
-        self.made += 1
-        run = f"{self.path}/level-{level}/run-{self.made}"
-        df = df.sort("digest", "sha") if ranged else df.sortWithinPartitions("digest", "sha")
-        df.write.option("parquet.bloom.filter.enabled#digest", "true").option("parquet.bloom.filter.max.bytes", str(1 << 20)).option("parquet.block.size", str(16 << 20)).parquet(run)
-        return run
+        return cls(spark, path, *cls.manifest(spark, path))
 
     def _read(self, run: str) -> DataFrame:
         return self.spark.read.schema(RUN).parquet(run)
 
-    def runs(self) -> list[str]:
-        return [run for level in self.levels for run in level]
-
     def append(self, docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> None:
         """Adds a batch of documents."""
         self.append_digested(digested(docs, text, doc_id))
@@ -74,29 +53,21 @@ class DigestIndex:
     def append_digested(self, rows: DataFrame) -> None:
         """Flushes a batch (rows of `digested`) as a sorted run, and compacts levels that are full."""
         own = rows.select("digest", "sha", F.col("doc_id").alias("keep_id"), F.col("size").alias("keep_size"), F.lit(1).cast("long").alias("group_size"))
-        self.levels[0].append(self._flush(_merged(own), 0, ranged=False))
-        level = 0
-        while len(self.levels[level]) >= FAN:
-            self._compact(level)
-            level += 1
-        self._list()
-
-    def _compact(self, level: int) -> None:
-        """All runs of a level, merged into one of the next."""
-        if level + 1 == len(self.levels):
-            self.levels.append([])
-        merged = _merged(reduce(DataFrame.unionByName, map(self._read, self.levels[level])))
-        self.levels[level + 1].append(self._flush(stored(merged, scratch(self.spark, "merged")), level + 1, ranged=True))
-        self.levels[level] = []
+        self.levels[0].append(sorted_run(_merged(own), self.place(0), ("digest", "sha"), ranged=False))
+        self.settle()
+
+    def merge(self, runs: list[str], level: int) -> str:
+        merged = stored(_merged(reduce(DataFrame.unionByName, map(self._read, runs))), scratch(self.spark, "merged"))
+        return sorted_run(merged, self.place(level), ("digest", "sha"), ranged=True)
 
     def lookup(self, digests: DataFrame) -> DataFrame:
         """RUN: what the index holds of digests (digest). Few are pushed down to the runs, more are joined with them; the result is the same."""
         wanted = digests.select("digest").distinct()
         few = sorted(r[0] for r in wanted.limit(FEW + 1).collect())
         if len(few) > FEW:
-            found = [self._read(run).join(wanted, "digest", "left_semi") for run in self.runs()]
+            found = [self._read(run).join(wanted, "digest", "left_semi") for run in self.every()]
         else:
-            found = [self._read(run).where(F.col("digest").isin(few[at : at + TOGETHER])) for run in self.runs() for at in range(0, len(few), TOGETHER)]
+            found = [self._read(run).where(F.col("digest").isin(few[at : at + TOGETHER])) for run in self.every() for at in range(0, len(few), TOGETHER)]
         return _merged(reduce(DataFrame.unionByName, found)) if found else self.spark.createDataFrame([], RUN)
 
     def seen(self, rows: DataFrame) -> DataFrame:
@@ -105,12 +76,10 @@ class DigestIndex:
 
     def compact(self) -> DataFrame:
         """RUN: every digest of the index once; all runs are merged into one of the last level."""
-        if len(self.runs()) > 1:
-            merged = _merged(reduce(DataFrame.unionByName, map(self._read, self.runs())))
-            run = self._flush(stored(merged, scratch(self.spark, "merged")), len(self.levels), ranged=True)
-            self.levels = [[] for _ in self.levels] + [[run]]
-            self._list()
-        return self._read(self.runs()[0]) if self.runs() else self.spark.createDataFrame([], RUN)
+        if len(self.every()) > 1:
+            self.levels = [[] for _ in self.levels] + [[self.merge(self.every(), len(self.levels))]]
+            self.save()
+        return self._read(self.every()[0]) if self.every() else self.spark.createDataFrame([], RUN)
 
 
 def _merged(runs: DataFrame) -> DataFrame:

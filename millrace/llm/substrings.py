@@ -2,12 +2,15 @@
 
 A window is `window` words in a row. All windows of a corpus are too many to move, so each is represented
 by its least hash of ANCHOR words in a row: equal windows have equal anchors, and neighbours mostly share
-theirs. The index holds the anchors. Each batch of documents is fingerprinted where it lies and flushed as
-an immutable run sorted by fingerprint; compaction adds up occurrences over all runs by an aggregation. A
-new batch isn't joined with earlier runs: incremental deduplication isn't built. Only
-windows whose anchor occurs twice can occur twice. Those windows are then verified one by one on 96 bits
-of hash over all their words, across the whole corpus: a count finds the windows that stand alone, which
-are few and come back with their one place. All others are repeats, and the words they cover are removed.
+theirs. The index holds the anchors. Each batch of documents is fingerprinted where it lies and flushed as an
+immutable run sorted by fingerprint; the runs of earlier batches are merge-joined with it, which finds the anchors
+that stand in both. FAN runs of a level are compacted into one of the next, whose files hold ranges of
+fingerprints. Only windows whose anchor occurs twice can occur twice. Those windows are then verified one by one
+on 96 bits of hash over all their words: a count finds the windows that stand alone, which are few and come back
+with their one place. All others are repeats, and the words they cover are removed.
+
+`without_repeats` judges a whole table. `deduplicated` takes the next batch only: it is judged on itself and on the
+earlier documents that share an anchor with it, whose texts the index keeps.
 
 Copies of a whole text are counted, not repeated: windows are emitted once per text with the number of
 its copies as weight.
@@ -24,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.common import scratch, small_batches, stored
+from millrace.llm.runs import Runs, sorted_run
 from millrace.llm.words import mixed, row_of, run_hashes, slid, word_hashes
 
 ANCHOR = 8
@@ -52,14 +56,20 @@ def fingerprints(texts: pa.Array, window: int) -> tuple[np.ndarray, np.ndarray]:
     return a[at].astype(np.int64), row_of(offsets)[at]
 
 
-class FingerprintIndex:
-    """Sorted runs of anchors below a folder that all executors share."""
+class FingerprintIndex(Runs):
+    """Runs of RUN, sorted by fingerprint, and beside them the anchors of each batch that stand elsewhere too."""
+
+    def __init__(self, spark: SparkSession, path: str, window: int, levels: list[list[str]] | None = None, made: int = 0):
+        super().__init__(spark, path, levels, made)
+        self.window, self.again = window, []
 
-    def __init__(self, spark: SparkSession, path: str, window: int):
-        self.spark, self.path, self.window, self.runs = spark, path, window, []
+    @classmethod
+    def open(cls, spark: SparkSession, path: str, window: int) -> FingerprintIndex:
+        """The index that an earlier job left at path."""
+        return cls(spark, path, window, *cls.manifest(spark, path))
 
-    def append(self, keyed: DataFrame) -> None:
-        """keyed: key, text. Flushes a batch's anchors as a run of sorted files."""
+    def append(self, keyed: DataFrame) -> DataFrame:
+        """keyed: key, text. Flushes a batch's anchors as a sorted run. Returns the batch's anchors, fp, that stand elsewhere in the batch or in earlier runs."""
         window = self.window
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -67,19 +77,29 @@ class FingerprintIndex:
                 fp, text = fingerprints(b.column("text"), window)
                 yield pa.RecordBatch.from_arrays([pa.array(fp), b.column("key").take(pa.array(text))], ["fp", "key"])
 
-        to = f"{self.path}/run-{len(self.runs)}"
-        keyed.select("key", "text").mapInArrow(run, RUN).sortWithinPartitions("fp").write.parquet(to)
-        self.runs.append(to)
+        to = sorted_run(keyed.select("key", "text").mapInArrow(run, RUN), self.place(0), ("fp", "key"), ranged=False)
+        own = self._read(to).groupBy("fp").agg(F.count(F.lit(1)).alias("n"))
+        found = own.where("n > 1").select("fp")
+        for earlier in self.every():
+            found = found.unionByName(own.where("n = 1").select("fp").join(self._read(earlier).select("fp"), "fp", "left_semi"))
+        self.again.append(f"{self.path}/again/run-{self.made}")
+        found.distinct().write.parquet(self.again[-1])
+        self.levels[0].append(to)
+        self.settle()
+        return self.spark.read.schema("fp long").parquet(self.again[-1])
+
+    def merge(self, runs: list[str], level: int) -> str:
+        return sorted_run(self._read(*runs), self.place(level), ("fp", "key"), ranged=True)
+
+    def _read(self, *runs: str) -> DataFrame:
+        return self.spark.read.schema(RUN).parquet(*runs)
 
     def places(self) -> DataFrame:
-        return self.spark.read.schema(RUN).parquet(*self.runs)
+        return self._read(*self.every())
 
-    def compact(self) -> DataFrame:
-        """Merges all runs; returns the anchors with more than one place: fp."""
-        to = f"{self.path}/merged-{len(self.runs)}"
-        merged = self.places().groupBy("fp").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        merged.select("fp").write.parquet(to)
-        return self.spark.read.schema("fp long").parquet(to)
+    def repeated(self) -> DataFrame:
+        """fp: the anchors with more than one place, of the batches that this object took."""
+        return self.spark.read.schema("fp long").parquet(*self.again).distinct()
 
 
 def candidates(texts: pa.Array, fps: pa.ListArray, window: int) -> tuple[np.ndarray, ...]:
@@ -96,19 +116,22 @@ def candidates(texts: pa.Array, fps: pa.ListArray, window: int) -> tuple[np.ndar
     return h, offsets, np.flatnonzero((known[at] == sought) & (least > 0))
 
 
-def shared_anchors(keyed: DataFrame, window: int = 35, batches: int = 2) -> DataFrame:
-    """keyed: key, key2 (two hashes of the text), doc_id, text. A row per distinct text with anchors that stand elsewhere, too: key, key2,
-    fps, no (its number), of (a doc_id that has it), weight (its copies, for each row of that doc_id)."""
-    spark = keyed.sparkSession
-    index = FingerprintIndex(spark, scratch(spark, "fingerprints"), window)
+def indexed(keyed: DataFrame, window: int, batches: int) -> FingerprintIndex:
+    """An index to which keyed (key, key2, text) was appended in batches."""
+    index = FingerprintIndex(keyed.sparkSession, scratch(keyed.sparkSession, "fingerprints"), window)
     for b in range(batches):
         index.append(keyed.where(F.pmod(F.col("key2"), F.lit(batches)) == b))
-    again = index.compact()
-    anchors = index.places().join(again, "fp", "left_semi").groupBy("key").agg(F.collect_set("fp").alias("fps"))
+    return index
+
+
+def shared_anchors(keyed: DataFrame, places: DataFrame, again: DataFrame) -> DataFrame:
+    """keyed: key, key2 (two hashes of the text), doc_id, text. A row per distinct text with anchors among again (fp): key, key2,
+    fps, no (its number), of (a doc_id that has it), weight (its copies, for each row of that doc_id)."""
+    anchors = places.join(again, "fp", "left_semi").groupBy("key").agg(F.collect_set("fp").alias("fps"))
     ids = keyed.groupBy("key", "key2", "doc_id").agg(F.count(F.lit(1)).alias("n"))
     copies = ids.groupBy("key", "key2").agg(F.sum("n").alias("copies"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("of"), F.col("n").alias("same"))).alias("first"))
     wanted = copies.join(anchors, "key").select("key", "key2", F.col("first.of").alias("of"), (F.col("copies") / F.col("first.same")).alias("weight"), "fps")
-    return stored(wanted.withColumn("no", F.monotonically_increasing_id()), scratch(spark, "anchors"))
+    return stored(wanted.withColumn("no", F.monotonically_increasing_id()), scratch(keyed.sparkSession, "anchors"))
 
 
 def single_windows(keyed: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
@@ -144,11 +167,31 @@ def without_repeats(docs: DataFrame, window: int = 35, batches: int = 2, text: s
 
     Words are split at ASCII white space and otherwise unchanged; a null text has none. Every place of a
     repeated window loses its words, the first too, and so do repeats within one document and in repeated
-    rows. Windows are judged on the input. Texts of fewer words than a window stay whole.
+    rows. Windows are judged on the input. Texts of fewer words than a window stay whole. An empty table gives none.
     """
     keyed = keyed_texts(docs, text, doc_id)
-    wanted = shared_anchors(keyed, window, batches)
-    about = wanted.select("key", "key2", "no", "fps").join(single_windows(keyed, wanted, window), "no", "left").drop("no")
+    index = indexed(keyed, window, batches)
+    return _cut(keyed, keyed, shared_anchors(keyed, index.places(), index.repeated()), window)
+
+
+def deduplicated(index: FingerprintIndex, docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """Adds the next batch to the index and returns a row per document of it, as without_repeats: a window goes if it stands
+    anywhere else in the batch or in an earlier one. Only earlier texts that share an anchor with the batch are read again. Earlier
+    results stay as they were. An empty batch gives none."""
+    spark = docs.sparkSession
+    keyed = stored(keyed_texts(docs, text, doc_id), f"{index.path}/texts/batch={index.made}")
+    earlier = spark.read.schema(keyed.schema).parquet(f"{index.path}/texts/*") if index.every() else None
+    again = index.append(keyed)
+    every = keyed
+    if earlier is not None:
+        keys = index.places().join(again, "fp", "left_semi").select("key").distinct()
+        every = stored(earlier.join(keys, "key", "left_semi"), scratch(spark, "touched"))  # this batch's texts among them
+    return _cut(keyed, every, shared_anchors(every, index.places(), again), index.window)
+
+
+def _cut(keyed: DataFrame, every: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
+    """The documents of keyed without windows that stand twice in every, the texts that wanted (of shared_anchors) tells of."""
+    about = wanted.select("key", "key2", "no", "fps").join(single_windows(every, wanted, window), "no", "left").drop("no")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches, "text", 1 << 20):

@@ -82,7 +82,7 @@ def test_lookups_pass_over_runs(spark, make):
         index.append_digested(rows.where(f"id % 4 = {b}"))
     assert [len(level) for level in index.levels] == [0, 1]
     wanted = [r[0] for r in rows.limit(3).select("digest").collect()]
-    scan = index._read(index.runs()[0]).where(F.col("digest").isin(wanted))
+    scan = index._read(index.every()[0]).where(F.col("digest").isin(wanted))
     plan = scan._jdf.queryExecution()
     assert scan.count() == 3 and "In(digest" in plan.executedPlan().toString()
     plan.executedPlan().executeCollect()

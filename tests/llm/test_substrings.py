@@ -53,3 +53,29 @@ def test_repeated_rows_count_as_elsewhere(make, prose):
 
 def test_empty_table(make):
     assert substrings.removal_digests(make([])).count() == 0
+
+
+def test_batches_do_not_matter(make, prose):
+    rows = corpus(prose, 7, 35)
+    from pyspark.sql import functions as F
+
+    for batches in (1, 3, 6):
+        got = substrings.without_repeats(make(rows), batches=batches).select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256))
+        assert order(got.collect()) == order(brute(rows, 35))
+
+
+def test_batch_after_batch(spark, make, prose):
+    from pyspark.sql import functions as F
+
+    from millrace.llm.common import scratch
+
+    rows, path, seen = corpus(prose, 8, 20) + [(None, "no words of note"), (900, None)], scratch(spark, "test-fingerprints"), []
+    substrings.FingerprintIndex(spark, path, 20).save()
+    for k in range(6):
+        part = rows[k::6] if k < 5 else []
+        seen += part
+        index = substrings.FingerprintIndex.open(spark, path, 20)
+        got = substrings.deduplicated(index, make(part)).select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256)).collect()
+        want = brute(seen, 20)[len(seen) - len(part) :]
+        assert order(got) == order(want), k
+    assert [len(level) for level in index.levels] == [2, 1]
