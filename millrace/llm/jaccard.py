@@ -17,11 +17,11 @@ the symmetric difference, too, and rejects candidates before their sets are comp
 1024 bits have a wider one, of two bits for each shingle at least; of two widths the wider one is folded.
 
 Documents with the same set are one node. Links between nodes are found in rounds: in each shared block the
-members that stand first in a random order, the centres, are compared with all others and then leave the block;
-blocks whose members are all connected, or compared, go. The first round has one centre a block and one order
-for all blocks, so neighbouring blocks compare the same pairs; later rounds have an order of each block's own,
-and more centres in blocks of many members. A round ends with the classes that its links make. So most blocks
-are done after one centre, a block is never paired with itself, and what is left of large groups shrinks by rounds.
+member that stands first in a random order, the centre, is compared with all others. The first round has one order
+for all blocks, so neighbouring blocks compare the same pairs; the next ones have an order of each block's own. A
+round ends with the classes that its links make, and blocks whose members are all connected go. What is left then
+meets several centres a block, which leave it when they are compared: where size and parity bits allow, a pair is
+compared on the sets. Blocks of more members than centres go on in further rounds, with four times as many.
 """
 
 from __future__ import annotations
@@ -223,36 +223,45 @@ def _folded(bits: Column, size: Column) -> Column:
     return F.when(F.size(bits) > size, both).otherwise(bits)
 
 
+#: Centres of a block in the first round that has several.
+CENTRES = 64
+
+
+def _unconnected(shared: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """key, node, label: members of the blocks of shared (key, node) that are of several classes."""
+    by_key = Window.partitionBy("key")
+    members = shared.withColumn("label", F.col("node")) if labels is None else shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    return members.withColumn("low", F.min("label").over(by_key)).withColumn("high", F.max("label").over(by_key)).where("low <> high")
+
+
 def _rounds(shared: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, rounds: int) -> DataFrame:
-    """node, label: the classes of all nodes with a link. shared: key, node, the members of blocks; nodes: node and ABOUT; sets: node, shingles.
-    A block has one centre in the first `rounds` rounds, then 2, 8, 32 and so on."""
-    spark, labels, r = shared.sparkSession, None, 0
+    """node, label: the classes of all nodes with a link. shared: key, node, the members of blocks; nodes: node and ABOUT; sets: node, shingles."""
+    spark, labels = shared.sparkSession, None
     by_key = Window.partitionBy("key")
-    left = shared
-    while True:
-        members = left.withColumn("label", F.col("node")) if labels is None else left.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        members = members.withColumn("low", F.min("label").over(by_key)).withColumn("high", F.max("label").over(by_key)).where("low <> high")
-        few = 1 if r < rounds else 2 * 4 ** (r - rounds)
+
+    def known(pairs: DataFrame, labels: DataFrame | None) -> DataFrame:
+        ends = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        links = stored(_linked(ends, nodes, sets, percent), scratch(spark, "found"))
+        return components(links, labels) if labels is None or links.limit(1).count() else labels
+
+    for r in range(rounds):
         order = F.xxhash64(*(["node"] if r == 0 else ["key", "node"]), F.lit(r))
-        if few == 1:
-            drawn = members.withColumn("centre", F.min(F.struct(order.alias("at"), "node", "label")).over(by_key))
-            pairs = drawn.where(F.col("label") != F.col("centre.label")).select(F.col("node").alias("x"), F.col("centre.node").alias("y"))
-            rest = drawn.where(F.col("node") != F.col("centre.node"))
-        else:
-            placed = stored(members.withColumn("nth", F.row_number().over(by_key.orderBy(order, "node"))).select("key", "node", "label", "nth"), scratch(spark, "placed"))
-            centres = placed.where(F.col("nth") <= few).select("key", F.col("node").alias("y"), F.col("label").alias("label_y"), F.col("nth").alias("nth_y"))
-            pairs = placed.join(centres, "key").where((F.col("nth") > F.col("nth_y")) & (F.col("label") != F.col("label_y"))).select(F.col("node").alias("x"), "y")
-            rest = placed.where(F.col("nth") > few)
-        links = stored(_linked(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")), nodes, sets, percent), scratch(spark, "found"))
-        if labels is None or links.limit(1).count():
-            labels = components(links, labels)
-        left = stored(rest.select("key", "node"), scratch(spark, "left"))
-        r += 1
+        drawn = _unconnected(shared, labels).withColumn("centre", F.min(F.struct(order.alias("at"), "node", "label")).over(by_key))
+        labels = known(drawn.where(F.col("label") != F.col("centre.label")).select(F.col("node").alias("x"), F.col("centre.node").alias("y")), labels)
+    few, left = CENTRES, shared
+    while True:
+        nth = F.row_number().over(by_key.orderBy(F.xxhash64("key", "node"), "node"))
+        about = _unconnected(left, labels).withColumn("nth", nth).select("key", "node", "label", "nth").join(nodes.select("node", *ABOUT), "node")
+        placed = stored(about, scratch(spark, "placed"))
+        x, y = (d.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "label", "nth", *ABOUT))) for d, s in ((placed, "x"), (placed.where(F.col("nth") <= few), "y")))
+        pairs = x.join(y, "key").where((F.col("nth_x") > F.col("nth_y")) & (F.col("label_x") != F.col("label_y")) & _may("x", "y", percent))
+        labels = known(pairs.select(F.col("node_x").alias("x"), F.col("node_y").alias("y")), labels)
+        left, few = placed.where(F.col("nth") > few).select("key", "node"), 4 * few
         if not left.limit(1).count():
             return labels
 
 
-def similar_groups(docs: DataFrame, size: int = 4, percent: int = 85, rounds: int = 2, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def similar_groups(docs: DataFrame, size: int = 4, percent: int = 85, rounds: int = 3, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """A row per document: doc_id, n_shingles, component_id, node, links' classes by label.
 
     Two documents link when 100 * |A & B| >= percent * |A | B| of their sets of distinct shingles of `size`

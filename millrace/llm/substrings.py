@@ -81,7 +81,7 @@ class FingerprintIndex(Runs):
         own = self._read(to).groupBy("fp").agg(F.count(F.lit(1)).alias("n"))
         found = own.where("n > 1").select("fp")
         for earlier in self.every():
-            found = found.unionByName(own.where("n = 1").select("fp").join(self._read(earlier).select("fp"), "fp", "left_semi"))
+            found = found.unionByName(own.where("n = 1").select("fp").join(self._read(earlier).select("fp").distinct(), "fp", "left_semi"))
         self.again.append(f"{self.path}/again/run-{self.made}")
         found.distinct().write.parquet(self.again[-1])
         self.levels[0].append(to)
