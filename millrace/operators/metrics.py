@@ -5,6 +5,8 @@ task orders all of them: over slices of the range of scores, then inside each sl
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -81,9 +83,29 @@ def tier(score: Column, moderate: Column, high: Column) -> Column:
     return F.when(score >= high, "HIGH").when(score >= moderate, "MODERATE").otherwise("LOW")
 
 
+def quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> DataFrame:
+    """name, share, value: exact quantiles of columns, between two values by interpolation; a column without values has no row.
+
+    Values are counted first. Running sums over SLICES stretches between the least and the greatest value, then within a
+    stretch, find the ranks, so no task holds all values."""
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("v")) for c in columns])).alias("x")).select("x.*").where("v IS NOT NULL")
+    counts = long.groupBy("name", "v").agg(F.count(F.lit(1)).alias("n"))
+    ends = counts.groupBy(F.col("name").alias("of")).agg(F.min("v").alias("low"), F.max("v").alias("high"), F.sum("n").alias("all"))
+    place = F.when(F.col("high") > F.col("low"), F.floor((F.col("v") - F.col("low")) / (F.col("high") - F.col("low")) * SLICES)).otherwise(0)
+    sliced = counts.join(F.broadcast(ends), F.col("name") == F.col("of")).withColumn("slice", place)  # a row per column
+    before = Window.partitionBy("name").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sliced.groupBy("name", "slice").agg(F.sum("n").alias("here")).withColumn("start", F.coalesce(F.sum("here").over(before), F.lit(0))).drop("here")
+    inside = Window.partitionBy("name", "slice").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = sliced.withColumn("within", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(starts, ["name", "slice"]).withColumn("first", F.col("start") + F.col("within"))
+    asked = ranked.withColumn("share", F.explode(F.array(*[F.lit(float(s)) for s in shares]))).withColumn("at", F.col("share") * (F.col("all") - 1))
+    holds = lambda r: (F.col("first") <= r) & (r < F.col("first") + F.col("n"))
+    hit = asked.where(holds(F.floor("at")) | holds(F.ceil("at"))).groupBy("name", "share", "at").agg(F.min("v").alias("a"), F.max("v").alias("b"))
+    return hit.select("name", "share", (F.col("a") + (F.col("b") - F.col("a")) * (F.col("at") - F.floor("at"))).alias("value"))
+
+
 def calibration(df: DataFrame, score: str, label: str, bins: int = 10) -> DataFrame:
     """bin, n, mean_score, positive_rate: of bins at exact quantiles of the scores; edges that coincide are one edge."""
-    edges = df.agg(F.array_distinct(F.percentile(score, F.array(*[F.lit(i / bins) for i in range(1, bins)]))).alias("edges"))
+    edges = quantiles(df, [score], [i / bins for i in range(1, bins)]).agg(F.array_sort(F.collect_set("value")).alias("edges"))  # bins - 1 values
     placed = df.crossJoin(F.broadcast(edges)).withColumn("bin", F.size(F.filter("edges", lambda e: e < F.col(score))))
     return placed.groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.avg(score).alias("mean_score"), F.avg(F.col(label).cast("double")).alias("positive_rate"))
 

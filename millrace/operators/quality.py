@@ -45,6 +45,15 @@ def report(*checks: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, checks).withColumn("passed", F.col("failing") == 0)
 
 
+def counted(pairs: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """check_name, expected, actual, passed: of pairs of tables of one row, n."""
+    rows = []
+    for name, (expected, actual) in pairs.items():
+        both = expected.select(F.col("n").alias("expected")).crossJoin(actual.select(F.col("n").alias("actual")))
+        rows.append(both.select(F.lit(name).alias("check_name"), "expected", "actual", F.col("expected").eqNullSafe(F.col("actual")).alias("passed")))
+    return reduce(DataFrame.unionByName, rows)
+
+
 def reconciled(pairs: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
     """check_name, expected, actual, passed: row counts of pairs of layers."""
     rows = []

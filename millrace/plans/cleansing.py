@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from millrace.functions.text import ascii_folded, cleaned, name_syntax
 from millrace.operators import cleaning, names, quality
 from millrace.operators.rows import drop_copies, newest_per_key
-from millrace.plans.models import PLACES_SQL, area_grade_summary, fact_finding, latest_graded, named_places
+from millrace.plans.models import DAILY_SQL, HISTORY_SQL, LATEST_SQL, PLACES_SQL, WEEKLY_SQL, area_grade_summary, daily, fact_complaint, fact_finding, history, latest_graded, named_places, next_event_label, weekly
 from millrace.plans.roles import GRADES, areas, complaints, findings, inspections, query, restaurants, table
 
 
@@ -80,14 +80,14 @@ def name_normalize(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "conversations").select("conv_id", "turn", name_syntax(plain).alias("name"))
 
 
-@query("", PLACES_SQL.split(",\nsame AS")[0] + """, w AS (SELECT DISTINCT name FROM places), b AS (SELECT DISTINCT string_split(upper(p_name), ' ')[1] AS brand FROM part UNION SELECT DISTINCT upper(p_name) FROM part WHERE p_partkey % 3 = 0),
+@query("", PLACES_SQL.split(",\nsame AS")[0] + """, w AS (SELECT DISTINCT name FROM places), b AS (SELECT DISTINCT string_split(upper(p_name), ' ')[1] AS brand FROM part UNION SELECT DISTINCT upper(p_name) FROM part),
 h AS (SELECT name, brand FROM w JOIN b ON contains(' ' || name || ' ', ' ' || brand || ' ')),
 l AS (SELECT h.name, h.brand FROM h WHERE NOT EXISTS (SELECT 1 FROM h g WHERE g.name = h.name AND g.brand <> h.brand AND contains(' ' || g.brand || ' ', ' ' || h.brand || ' ')))
 SELECT name, string_agg(brand, '|' ORDER BY brand) AS brands FROM l GROUP BY name""")
 def brands_in_names(spark: SparkSession, d: str) -> DataFrame:
     """The longest known brands that stand in names as whole words."""
     p = table(spark, d, "part")
-    brands = p.select(F.element_at(F.split(F.upper("p_name"), " "), 1).alias("brand")).union(p.where("p_partkey % 3 = 0").select(F.upper("p_name"))).distinct()
+    brands = p.select(F.element_at(F.split(F.upper("p_name"), " "), 1).alias("brand")).union(p.select(F.upper("p_name"))).distinct()
     return names.contained_brands(named_places(spark, d), brands).select("name", F.array_join("brands", "|").alias("brands"))
 
 
@@ -159,13 +159,15 @@ def collision_groups(spark: SparkSession, d: str) -> DataFrame:
     return g.where(F.size("s") > 1).select("normal", F.array_join("s", "|").alias("spellings"), F.size("s").cast("long").alias("n"))
 
 
-@query("areas restaurants inspections findings", """c AS (SELECT 'restaurant_key_not_null' AS check_name, count(*) FILTER (restaurant_key IS NULL) AS failing FROM restaurants
+@query("areas restaurants inspections findings", LATEST_SQL + """, shares AS (SELECT area_key, 100.0::DOUBLE * count(*) / sum(count(*)) OVER (PARTITION BY area_key) AS p FROM latest JOIN restaurants USING (restaurant_key) GROUP BY area_key, grade),
+c AS (SELECT 'restaurant_key_not_null' AS check_name, count(*) FILTER (restaurant_key IS NULL) AS failing FROM restaurants
 UNION ALL SELECT 'restaurant_key_unique', count(*) FROM (SELECT restaurant_key FROM restaurants GROUP BY 1 HAVING count(*) > 1)
 UNION ALL SELECT 'grade_accepted', count(*) FILTER (grade NOT IN ('A', 'B', 'C')) FROM inspections
 UNION ALL SELECT 'area_related', count(*) FROM restaurants WHERE area_key IS NOT NULL AND area_key NOT IN (SELECT area_key FROM areas)
 UNION ALL SELECT 'finding_related', count(*) FROM findings WHERE inspection_id NOT IN (SELECT inspection_id FROM inspections)
 UNION ALL SELECT 'score_positive', count(*) FILTER (NOT coalesce(score > 0, false)) FROM inspections
-UNION ALL SELECT 'percents_add_up', 0 UNION ALL SELECT 'fact_keeps_rows', 0) SELECT check_name, CAST(failing AS BIGINT) AS failing, failing = 0 AS passed FROM c""")
+UNION ALL SELECT 'percents_add_up', count(*) FILTER (abs(total - 100) >= 1e-4) FROM (SELECT sum(p) AS total FROM shares GROUP BY area_key)
+UNION ALL SELECT 'fact_keeps_rows', abs((SELECT count(*) FROM findings) - (SELECT count(*) FROM findings JOIN inspections USING (inspection_id) JOIN restaurants USING (restaurant_key)))) SELECT check_name, CAST(failing AS BIGINT) AS failing, failing = 0 AS passed FROM c""")
 def dq_checks(spark: SparkSession, d: str) -> DataFrame:
     r, i, f = restaurants(spark, d), inspections(spark, d), findings(spark, d)
     total = area_grade_summary(spark, d).where("graded_restaurants > 0").groupBy("area_key").agg(F.sum("grade_percent").alias("p"))
@@ -176,11 +178,39 @@ def dq_checks(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@query("inspections findings", """SELECT 'findings' AS check_name, (SELECT count(*) FROM lineitem) AS expected, (SELECT count(*) FROM findings JOIN inspections USING (inspection_id)) AS actual, true AS passed
-UNION ALL SELECT 'latest_grades', (SELECT count(DISTINCT restaurant_key) FROM inspections WHERE grade IN ('A', 'B', 'C')), (SELECT count(DISTINCT restaurant_key) FROM inspections WHERE grade IN ('A', 'B', 'C')), true""")
+GRADED = "FROM inspections WHERE grade IN ('A', 'B', 'C')"
+COUNTS_SQL = {
+    "findings": ("(SELECT count(*) FROM lineitem)", "(SELECT count(*) FROM findings JOIN inspections USING (inspection_id) JOIN restaurants USING (restaurant_key))"),
+    "complaints": ("(SELECT count(*) FROM events)", "(SELECT count(*) FROM complaints LEFT JOIN restaurants USING (restaurant_key))"),
+    "latest_grades": (f"(SELECT count(DISTINCT restaurant_key) {GRADED})", "(SELECT count(*) FROM latest)"),
+    "restaurants": ("(SELECT count(*) FROM customer)", "(SELECT count(*) FROM restaurants LEFT JOIN latest USING (restaurant_key))"),
+    "history": (f"(SELECT count(*) {GRADED})", "(SELECT count(*) FROM history)"),
+    "graded_days": (f"(SELECT count(DISTINCT (restaurant_key, inspected)) {GRADED})", "(SELECT count(*) FROM daily)"),
+    "labelled_days": ("(SELECT count(*) - count(DISTINCT restaurant_key) FROM daily)", "(SELECT count(*) FROM (SELECT lead(inspected) OVER (PARTITION BY restaurant_key ORDER BY inspected) AS n FROM daily) WHERE n IS NOT NULL)"),
+    "weekly_grid": ("(SELECT count(*) FROM weeks) * ((SELECT count(*) FROM areas) + 1)", "(SELECT count(*) FROM grid)"),
+    "critical_findings": ("(SELECT count(*) FROM lineitem WHERE l_returnflag = 'R')", "(SELECT CAST(coalesce(sum(critical_count), 0) AS BIGINT) FROM grid WHERE area_key = -1)"),
+    "inspected_weeks": ("(SELECT count(*) FROM orders)", "(SELECT CAST(coalesce(sum(complaint_count), 0) AS BIGINT) FROM grid WHERE area_key = -1)"),
+    "area_totals": ("(SELECT count(*) FROM latest)", "(SELECT CAST(coalesce(sum(n), 0) AS BIGINT) FROM (SELECT grade, count(*) AS n FROM latest JOIN restaurants USING (restaurant_key) GROUP BY grade))"),
+}
+
+
+@query("areas restaurants inspections findings complaints", LATEST_SQL + ", " + HISTORY_SQL + ", " + DAILY_SQL + ", " + WEEKLY_SQL + ", k AS (" + " UNION ALL ".join(f"SELECT '{n}' AS check_name, {e} AS expected, {a} AS actual" for n, (e, a) in COUNTS_SQL.items()) + ") SELECT *, expected = actual AS passed FROM k")
 def reconciliation(spark: SparkSession, d: str) -> DataFrame:
-    graded = inspections(spark, d).where(F.col("grade").isin(*GRADES)).select("restaurant_key").distinct()
-    return quality.reconciled({"findings": (table(spark, d, "lineitem"), fact_finding(spark, d)), "latest_grades": (graded, latest_graded(spark, d))})
+    """Counts of layers against those they are made from; each side is counted by itself."""
+    i, r = inspections(spark, d), restaurants(spark, d)
+    graded, last, days, grid = i.where(F.col("grade").isin(*GRADES)), latest_graded(spark, d), daily(spark, d), weekly(spark, d).where("area_key = -1")
+    one = F.count(F.lit(1))
+    n = lambda df: df.agg(one.alias("n"))
+    total = lambda c: grid.agg(F.coalesce(F.sum(c), F.lit(0)).alias("n"))
+    weeks = weekly(spark, d).select("week").distinct().agg(one.alias("w")).crossJoin(areas(spark, d).agg(one.alias("a"))).select((F.col("w") * (F.col("a") + 1)).alias("n"))
+    return quality.counted({
+        "findings": (n(table(spark, d, "lineitem")), n(fact_finding(spark, d))), "complaints": (n(table(spark, d, "events")), n(fact_complaint(spark, d))),
+        "latest_grades": (n(graded.select("restaurant_key").distinct()), n(last)), "restaurants": (n(table(spark, d, "customer")), n(r.join(last.select("restaurant_key"), "restaurant_key", "left"))),
+        "history": (n(graded), n(history(spark, d))), "graded_days": (n(graded.select("restaurant_key", "inspected").distinct()), n(days)),
+        "labelled_days": (days.agg((one - F.count_distinct("restaurant_key")).alias("n")), n(next_event_label(spark, d).where("next_inspected IS NOT NULL"))),
+        "weekly_grid": (weeks, n(weekly(spark, d))), "critical_findings": (n(table(spark, d, "lineitem").where("l_returnflag = 'R'")), total("critical_count")), "inspected_weeks": (n(table(spark, d, "orders")), total("complaint_count")),
+        "area_totals": (n(last), last.join(r, "restaurant_key").groupBy("grade").agg(one.alias("m")).agg(F.coalesce(F.sum("m"), F.lit(0)).alias("n"))),
+    })
 
 
 @query("", r"SELECT doc_id, strip_accents(regexp_replace(text, '[^\x00-\x7FÀ-ÅÇ-ÏÑ-ÖÙ-Ýà-åç-ïñ-öù-ýÿ]', '', 'g')) AS folded FROM documents")

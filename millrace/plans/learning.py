@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators import metrics
+from millrace.operators.rows import top_per_key
 from millrace.plans.models import FRAME_SQL, daily, history_frame
 from millrace.plans.roles import query, table
 
@@ -40,7 +41,8 @@ def chronological(df: DataFrame, date: str, cutoff: str) -> tuple[DataFrame, Dat
 
 def imputed_scaled(train: DataFrame, rows: DataFrame, numbers: tuple[str, ...]) -> DataFrame:
     """Nulls become the training median, then columns are centred and divided by the population deviation of the training rows (1 where constant)."""
-    medians = train.agg(*[F.median(c).alias(f"__m_{c}") for c in numbers])
+    middles = metrics.quantiles(train, numbers, [0.5])
+    medians = middles.agg(*[F.max(F.when(F.col("name") == c, F.col("value"))).alias(f"__m_{c}") for c in numbers])
     filled = train.crossJoin(F.broadcast(medians)).select(*[F.coalesce(F.col(c).cast("double"), F.col(f"__m_{c}")).alias(c) for c in numbers])
     moments = filled.agg(*[F.avg(c).alias(f"__a_{c}") for c in numbers], *[F.stddev_pop(c).alias(f"__s_{c}") for c in numbers])
     wide = rows.crossJoin(F.broadcast(medians)).crossJoin(F.broadcast(moments))
@@ -148,17 +150,121 @@ def _assembled(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return chronological(vectors, "next_inspected", "2000-01-01")
 
 
+#: Penalties and class weights that the logistic model is chosen from.
+GRID = tuple((penalty, balanced) for penalty in (0.001, 0.01, 0.1) for balanced in (False, True))
+FOLDS = 3
+
+
+def weighted(rows: DataFrame, balanced: bool) -> DataFrame:
+    """rows with weight: alike for all, or so that both classes weigh the same. One class alone keeps weight 1."""
+    if not balanced:
+        return rows.withColumn("weight", F.lit(1.0))
+    n, p = rows.agg(F.count(F.lit(1)), F.sum("target")).first()
+    p = p or 0
+    return rows.withColumn("weight", F.when(F.col("target") == 1, F.lit(n / (2 * p) if 0 < p < n else 1.0)).otherwise(F.lit(n / (2 * (n - p)) if 0 < p < n else 1.0)))
+
+
+def fitted_logistic(rows: DataFrame, penalty: float, balanced: bool):
+    return LogisticRegression(labelCol="target", weightCol="weight", regParam=penalty, standardization=False, maxIter=50).fit(weighted(rows, balanced))
+
+
+def out_of_fold(rows: DataFrame, date: str, fit, splits: int = FOLDS) -> DataFrame:
+    """Rows of the test parts of expanding folds by date, each with p from a model of the days before it: what calibration and choice may look at."""
+    folds, out = metrics.date_folds(rows, date, splits).cache(), None
+    for k in range(1, splits + 1):
+        part = lambda name, k=k: rows.join(folds.where((F.col("fold") == k) & (F.col("part") == name)).select(date), date, "left_semi")
+        train, test = part("train"), part("test")
+        if train.select("target").distinct().limit(2).count() < 2:
+            continue
+        scored = fit(train).transform(test).withColumn("p", vector_to_array(F.col("probability"))[1])
+        out = scored if out is None else out.unionByName(scored)
+    return rows.withColumn("p", F.lit(None).cast("double")).limit(0) if out is None else out.select(*rows.columns, "p")
+
+
+def chosen_logistic(train: DataFrame, date: str = "next_inspected", grid: tuple[tuple[float, bool], ...] = GRID) -> tuple[float, bool, DataFrame]:
+    """Of a grid what has the best average precision out of fold (the first of equals), and its out-of-fold rows. A tuning run
+    for itself: it fits FOLDS models for each entry."""
+    best = None
+    for penalty, balanced in grid:
+        scored = out_of_fold(train, date, lambda part, c=penalty, w=balanced: fitted_logistic(part, c, w)).select("target", "p").cache()
+        found = metrics.ranking(scored, "p", "target").first()
+        value = (found["average_precision"] if found else None) or 0.0
+        if best is None or value > best[0] + 1e-9:
+            best = (value, penalty, balanced, scored)
+    return best[1:]
+
+
+def calibrated(p: Column, scored: DataFrame) -> Column:
+    """p on the logistic curve that fits out-of-fold scores; p itself where they hold one class or none."""
+    if scored.select("target").distinct().limit(2).count() < 2:
+        return p
+    slope, middle = platt(scored, "p", "target")
+    return 1 / (1 + F.exp(-(F.lit(slope) * logit(p) + F.lit(middle))))
+
+
+def contributions(coefficients, most: int = 3) -> Column:
+    """The features that add most to a row's risk, as JSON."""
+    parts = F.array(*[F.struct((F.lit(float(c)) * F.col(f"z_{n}")).alias("contribution"), F.lit(n).alias("feature")) for n, c in zip(NUMBERS, coefficients, strict=True)])
+    down = F.array_sort(parts, lambda a, b: F.when(a["contribution"] > b["contribution"], -1).when(a["contribution"] < b["contribution"], 1).otherwise(0))
+    return F.to_json(F.slice(F.filter(down, lambda x: x["contribution"] > 0), 1, most))
+
+
 @query()
 def logistic_scores(spark: SparkSession, d: str) -> DataFrame:
-    """Calibrated risk of rows after the cutoff, their tier, and the three features that add most to it."""
+    """Calibrated risk of rows after the cutoff, their tier, and the three features that add most to it. The curve is fitted on
+    out-of-fold scores."""
     train, test = _assembled(spark, d)
-    model = LogisticRegression(labelCol="target", regParam=0.01, standardization=False, maxIter=50).fit(train)
-    p = vector_to_array(F.col("probability"))[1]
-    slope, middle = platt(model.transform(train).select(p.alias("p"), "target"), "p", "target")
-    risk = 1 / (1 + F.exp(-(F.lit(slope) * logit(p) + F.lit(middle))))
-    parts = F.array(*[F.struct((F.lit(float(c)) * F.col(f"z_{n}")).alias("contribution"), F.lit(n).alias("feature")) for n, c in zip(NUMBERS, model.coefficients, strict=True)])
-    top = F.slice(F.filter(F.array_sort(parts, lambda a, b: F.when(a["contribution"] > b["contribution"], -1).when(a["contribution"] < b["contribution"], 1).otherwise(0)), lambda x: x["contribution"] > 0), 1, 3)
-    return model.transform(test).select("restaurant_key", "inspected", "target", F.round(risk, 6).alias("risk"), F.to_json(top).alias("factors")).withColumn("tier", metrics.tier(F.col("risk"), F.lit(0.45), F.lit(0.55)))
+    train = train.cache()
+    scored = out_of_fold(train, "next_inspected", lambda part: fitted_logistic(part, 0.01, False)).select("target", "p").cache()
+    model = fitted_logistic(train, 0.01, False)
+    risk = calibrated(vector_to_array(F.col("probability"))[1], scored)
+    return model.transform(test).select("restaurant_key", "inspected", "target", F.round(risk, 6).alias("risk"), contributions(model.coefficients).alias("factors")).withColumn("tier", metrics.tier(F.col("risk"), F.lit(0.45), F.lit(0.55)))
+
+
+def coefficient_table(model, features: tuple[str, ...], spark: SparkSession) -> DataFrame:
+    """feature, coefficient, size and direction, the greatest first."""
+    rows = spark.createDataFrame([(n, float(c)) for n, c in zip(features, model.coefficients, strict=True)], "feature string, coefficient double")
+    return rows.select("*", F.abs("coefficient").alias("magnitude"), F.when(F.col("coefficient") > 0, "raises").when(F.col("coefficient") < 0, "lowers").otherwise("none").alias("effect")).orderBy(F.desc("magnitude"), "feature")
+
+
+@query()
+def refreshed_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Current risk of every restaurant's latest row: the model learns from all rows whose outcome has matured by a day."""
+    rows = labelled(spark, d)
+    mature = rows.where(F.col("next_inspected") <= F.lit("2001-05-31").cast("date"))
+    now = top_per_key(history_frame(daily(spark, d)), ["restaurant_key"], [F.desc("inspected")])
+    assembled = lambda df: VectorAssembler(inputCols=guarded([f"z_{c}" for c in NUMBERS]), outputCol="features").transform(imputed_scaled(mature, df, NUMBERS))
+    train = assembled(mature).cache()
+    scored = out_of_fold(train, "next_inspected", lambda part: fitted_logistic(part, 0.01, False)).select("target", "p").cache()
+    model = fitted_logistic(train, 0.01, False)
+    risk = calibrated(vector_to_array(F.col("probability"))[1], scored)
+    return model.transform(assembled(now)).select("restaurant_key", "inspected", F.round(risk, 6).alias("risk"), contributions(model.coefficients).alias("factors"))
+
+
+def verified_scores(scores: DataFrame, key: str = "restaurant_key", risk: str = "risk") -> dict[str, int]:
+    """What is wrong with a table of scores: rows without a key, keys met twice, risks missing or not from 0 to 1, and whether it is empty."""
+    c = scores.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(risk).isNull() | ~F.col(risk).between(0, 1) | F.isnan(risk)).alias("bad"))
+    r = c.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("n"))), F.lit(0)), F.count_if((F.col("n") > 1) & F.col(key).isNotNull()), F.coalesce(F.sum("bad"), F.lit(0))).first()
+    return {"empty": int(r[0] == 0), "no_key": r[1], "repeated": r[2], "risk": r[3]}
+
+
+def promoted(spark: SparkSession, scores: str, pointer: str, state: str) -> bool:
+    """Points to a table of scores if the monitor's state isn't FAIL and the table is sound; else nothing changes. Pointers are versions, the last counts."""
+    if state == "FAIL" or any(verified_scores(spark.read.parquet(scores)).values()):
+        return False
+    before = promoted_path(spark, pointer)
+    version = 0 if before is None else before[0] + 1
+    spark.createDataFrame([(version, scores)], "version int, scores string").coalesce(1).write.mode("append").parquet(pointer)
+    return True
+
+
+def promoted_path(spark: SparkSession, pointer: str) -> tuple[int, str] | None:
+    from millrace.sources.sinks import path_exists
+
+    if not path_exists(spark, pointer):
+        return None
+    row = spark.read.parquet(pointer).orderBy(F.desc("version")).first()
+    return row["version"], row["scores"]
 
 
 @query()

@@ -95,10 +95,10 @@ def cuisine_list(spark: SparkSession, d: str) -> DataFrame:
     return restaurants(spark, d).select("cuisine").where("cuisine IS NOT NULL").distinct()
 
 
-@query("", "SELECT p_brand AS alias, count(DISTINCT p_size) AS n FROM part WHERE p_size > 25 GROUP BY p_brand HAVING count(DISTINCT p_size) > 1")
+@query("", "SELECT p_brand AS alias, count(DISTINCT p_size) AS n FROM part GROUP BY p_brand HAVING count(DISTINCT p_size) > 1")
 def alias_conflicts(spark: SparkSession, d: str) -> DataFrame:
     """Aliases that stand for more than one thing."""
-    return names.conflicts(table(spark, d, "part").where("p_size > 25").select(F.col("p_brand").alias("alias"), "p_size"), "alias", "p_size")
+    return names.conflicts(table(spark, d, "part").select(F.col("p_brand").alias("alias"), "p_size"), "alias", "p_size")
 
 
 @query("", "SELECT count(*) AS row_count, count(*) - count(DISTINCT (text, lang, source, n_chars)) AS copies FROM documents")
@@ -117,9 +117,9 @@ def review_queue(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "part").where(odd).groupBy("p_brand", "p_type").agg(F.count(F.lit(1)).alias("rows_seen"), F.count_distinct("p_name").alias("names_seen"), F.min("p_retailprice").alias("least"))
 
 
-@query("inspections", "SELECT min(inspected) AS least, max(inspected) AS greatest, count(*) FILTER (inspected = DATE '1995-01-01') AS sentinels, count(*) FILTER (inspected IS NULL) AS invalid FROM inspections")
+@query("inspections", "SELECT min(inspected) AS least, max(inspected) AS greatest, count(*) FILTER (inspected = DATE '1900-01-01') AS sentinels, count(*) FILTER (inspected IS NULL) AS invalid FROM inspections")
 def date_profile(spark: SparkSession, d: str) -> DataFrame:
-    return inspections(spark, d).agg(F.min("inspected").alias("least"), F.max("inspected").alias("greatest"), F.count_if(F.col("inspected") == F.lit("1995-01-01").cast("date")).alias("sentinels"), F.count_if(F.col("inspected").isNull()).alias("invalid"))
+    return inspections(spark, d).agg(F.min("inspected").alias("least"), F.max("inspected").alias("greatest"), F.count_if(F.col("inspected") == F.lit("1900-01-01").cast("date")).alias("sentinels"), F.count_if(F.col("inspected").isNull()).alias("invalid"))
 
 
 @query("inspections", DAILY_SQL + """, l AS (SELECT *, lead(inspected) OVER w AS next_inspected, lead(grade) OVER w AS next_grade FROM daily WINDOW w AS (PARTITION BY restaurant_key ORDER BY inspected)), t AS (SELECT *, CAST(next_grade IN ('B', 'C') AS INTEGER) AS target FROM l WHERE next_inspected IS NOT NULL)

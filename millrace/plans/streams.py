@@ -13,8 +13,11 @@ from millrace.streaming import events
 
 
 def folder(spark: SparkSession, name: str) -> str:
-    """A new folder below spark.checkpoint.dir, which all machines share; a temporary one where that is unset."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or f"file://{tempfile.mkdtemp(prefix='millrace-')}"
+    """A new folder below spark.checkpoint.dir, which all machines share; a temporary one where that is unset on a single machine."""
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+    root = root or f"file://{tempfile.mkdtemp(prefix='millrace-')}"
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -29,10 +32,10 @@ def stream(spark: SparkSession, d: str) -> DataFrame:
 @query("", "SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL")
 def stream_window_counts(spark: SparkSession, d: str) -> DataFrame:
     """Daily counts as a stream makes them, in complete mode, so that the last windows are there, too."""
-    name = f"counts_{uuid.uuid4().hex}"
+    target = folder(spark, "counts")
     out = events.window_counts(stream(spark, d), "ts", "event_type")
-    events.run_available(out, folder(spark, "stream"), name, mode="complete")
-    return spark.table(name).select(F.to_date("window_start").alias("day"), "event_type", "n", F.round("total", 4).alias("total"))
+    events.run_available(out, folder(spark, "stream"), each=events.into(target), mode="complete")
+    return events.newest_rows(spark, target).select(F.to_date("window_start").alias("day"), "event_type", "n", F.round("total", 4).alias("total"))
 
 
 @query("", "SELECT user_id, event_id, ts, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS k FROM events) WHERE k = 1")
@@ -46,7 +49,7 @@ def stream_newest(spark: SparkSession, d: str) -> DataFrame:
 @query("", "SELECT DISTINCT user_id, event_type, CAST(ts AS DATE) AS day FROM events")
 def stream_dedup(spark: SparkSession, d: str) -> DataFrame:
     """One row of each user, type and day, as a stream keeps them."""
-    name = f"dedup_{uuid.uuid4().hex}"
+    target = folder(spark, "dedup")
     rows = stream(spark, d).select("user_id", "event_type", F.to_date("ts").alias("day"), "ts")
-    events.run_available(events.without_copies(rows, "ts", ["user_id", "event_type", "day"], "60 days").drop("ts"), folder(spark, "stream"), name)
-    return spark.table(name)
+    events.run_available(events.without_copies(rows, "ts", ["user_id", "event_type", "day"], "60 days").drop("ts"), folder(spark, "stream"), path=target)
+    return spark.read.parquet(target)

@@ -30,37 +30,57 @@ def without_copies(events: DataFrame, time: str, columns: list[str], late: str =
     return events.withWatermark(time, late).dropDuplicatesWithinWatermark(columns)
 
 
-def newest_into(spark: SparkSession, path: str, key: str, order: list[str]) -> Callable[[DataFrame, int], None]:
+def newest_into(spark: SparkSession, path: str, key: str, order: list[str], buckets: int = 16) -> Callable[[DataFrame, int], None]:
     """For foreachBatch: merges a batch into the newest row of each key below `path`.
 
-    Each batch writes version N from version N - 1 and is idempotent: a batch that runs again writes the
-    same version again. Readers take the greatest version (see newest_rows)."""
+    Keys are dealt into buckets by hash. A batch writes the buckets it touches as version N, each from its greatest version
+    below N, and is idempotent: a batch that runs again writes the same again. Readers take each bucket's greatest version
+    (see newest_rows)."""
     from millrace.operators.rows import top_per_key
 
     def merge(batch: DataFrame, number: int) -> None:
-        before = newest_rows(batch.sparkSession, path, below=number)
-        both = batch if before is None else batch.unionByName(before)
+        dealt = batch.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+        touched = [r["bucket"] for r in dealt.select("bucket").distinct().collect()]  # `buckets` at most
+        before = newest_rows(batch.sparkSession, path, number, touched)
+        both = dealt if before is None else dealt.unionByName(before.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")))
         best = top_per_key(both, [key], [F.desc_nulls_last(c) for c in order])
-        best.write.mode("overwrite").parquet(f"{path}/version={number:09d}")
+        best.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/version={number:09d}")
 
     return merge
 
 
-def newest_rows(spark: SparkSession, path: str, below: int | None = None) -> DataFrame | None:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    system = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not system.exists(hadoop):
+def newest_rows(spark: SparkSession, path: str, below: int | None = None, buckets: list[int] | None = None) -> DataFrame | None:
+    """The rows of each bucket's greatest version, below a number if one is given; None where there are none."""
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    system = path_of(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(path_of(path)):
         return None
-    names = [f.getPath().getName() for f in system.listStatus(hadoop)]
-    done = [n for n in names if n.startswith("version=") and system.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))]
-    numbers = [n for n in done if below is None or int(n.split("=")[1]) < below]
-    return spark.read.parquet(f"{path}/{max(numbers)}") if numbers else None
+    children = lambda p: [f.getPath().getName() for f in system.listStatus(path_of(p))]
+    newest: dict[int, str] = {}
+    for version in sorted(n for n in children(path) if n.startswith("version=") and system.exists(path_of(f"{path}/{n}/_SUCCESS"))):
+        if below is None or int(version.split("=")[1]) < below:
+            newest |= {int(b.split("=")[1]): f"{path}/{version}/{b}" for b in children(f"{path}/{version}") if b.startswith("bucket=")}
+    wanted = [p for b, p in sorted(newest.items()) if buckets is None or b in buckets]
+    return spark.read.parquet(*wanted) if wanted else None
 
 
-def run_available(stream: DataFrame, checkpoint: str, name: str | None = None, each: Callable | None = None, mode: str = "append") -> StreamingQuery:
-    """Runs a stream over all that is there, then stops; restarts go on from the checkpoint."""
-    writer = stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    writer = writer.foreachBatch(each) if each else writer.outputMode(mode).format("memory").queryName(name)
+def into(path: str) -> Callable[[DataFrame, int], None]:
+    """For foreachBatch in complete mode: each batch writes the whole result as a version of its own; latest(path) reads the last."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.withColumn("bucket", F.lit(0)).write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/version={number:09d}")
+
+    return write
+
+
+def run_available(stream: DataFrame, checkpoint: str, name: str | None = None, each: Callable | None = None, mode: str = "append", path: str | None = None) -> StreamingQuery:
+    """Runs a stream over all that is there, then stops; restarts go on from the checkpoint. Rows go to `each`, or as Parquet
+    to a path, or, for small results alone, to a table of that name in the driver's memory."""
+    writer = stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).outputMode(mode)
+    if each:
+        writer = writer.foreachBatch(each)
+    else:
+        writer = writer.format("parquet").option("path", path) if path else writer.format("memory").queryName(name)
     q = writer.start()
     q.awaitTermination()
     return q

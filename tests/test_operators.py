@@ -183,3 +183,78 @@ def test_contributions_are_json(spark):
 
     rows_ = roles.QUERIES["logistic_scores"](spark, "/root/testdata/sf0.001").limit(20).collect()
     assert all({"contribution", "feature"} == set(f) and f["contribution"] > 0 for r in rows_ for f in json.loads(r.factors))
+
+
+def test_requests_check_their_arguments(spark):
+    from millrace.plans import requests
+
+    d = "/root/testdata/sf0.001"
+    for call in (
+        lambda: requests.cuisines(spark, d, area="nowhere"), lambda: requests.cuisines(spark, d, sort="name; DROP"), lambda: requests.cuisines(spark, d, limit=21), lambda: requests.cuisines(spark, d, limit=True),
+        lambda: requests.violations(spark, d, critical="some"), lambda: requests.weekly_series(spark, d, weeks=13), lambda: requests.correlations(spark, d, lag=3), lambda: requests.around(spark, d, 1, radius=99),
+        lambda: requests.search(spark, d, grade="D"), lambda: requests.search(spark, d, size=101), lambda: requests.search(spark, d, page=0), lambda: requests.search(spark, d, flag="x"), lambda: requests.history_of(spark, d, "7' OR 1=1"),
+        lambda: requests.risks(spark, d, category="high"), lambda: requests.area_board(spark, d, "rank"), lambda: requests.chains(spark, d, sort="x"),
+    ):
+        with pytest.raises(ValueError):
+            call()
+    assert requests.search(spark, d, text="o'brien's \" %_").count() == 0
+    assert requests.around(spark, d, -5).count() == 0 and requests.risk_of(spark, d, -5).count() == 0
+    assert requests.kind_of("ADD_to cart", ["add_to_cart", "x"]) == "add_to_cart" and requests.kind_of("y", ["x"]) is None and requests.kind_of(None, ["x"]) is None
+
+
+def test_quantiles_are_those_of_all_values(spark):
+    import numpy as np
+
+    from millrace.operators import metrics
+
+    rng = np.random.default_rng(2)
+    rows = [(float(a), None if i % 3 else int(b), 5.0, None) for i, (a, b) in enumerate(zip(rng.lognormal(3, 2, 500), rng.integers(-4, 4, 500), strict=True))]
+    df = spark.createDataFrame(rows, "a double, b long, c double, d double")
+    got = {(r["name"], r["share"]): r["value"] for r in metrics.quantiles(df, ["a", "b", "c", "d"], [0.0, 0.1, 0.5, 0.77, 1.0]).collect()}
+    for k, name in enumerate("abc"):
+        values = [r[k] for r in rows if r[k] is not None]
+        for share in (0.0, 0.1, 0.5, 0.77, 1.0):
+            assert abs(got[name, share] - np.quantile(values, share)) < 1e-9
+    assert len(got) == 15 and metrics.quantiles(df.limit(0), ["a"], [0.5]).count() == 0
+
+
+def test_folds_calibration_and_promotion(spark, tmp_path):
+    import datetime
+    import random
+
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.sql import functions as F
+
+    from millrace.plans import learning
+
+    rng = random.Random(1)
+    rows = []
+    for i in range(400):
+        x = rng.gauss(0, 1)
+        rows.append((i, datetime.date(2000, 1, 1) + datetime.timedelta(days=i // 4), x, rng.gauss(0, 1), int(rng.random() < 1 / (1 + 2.7 ** -(2 * x - 1)))))
+    df = VectorAssembler(inputCols=["z_x", "z_y"], outputCol="features").transform(spark.createDataFrame(rows, "key int, day date, z_x double, z_y double, target int")).cache()
+    starts = []
+
+    def fit(part):
+        starts.append(part.agg(F.max("day")).first()[0])
+        return learning.fitted_logistic(part, 0.01, False)
+
+    scored = learning.out_of_fold(df, "day", fit)
+    assert scored.count() == len({r["key"] for r in scored.collect()}) == 300 and starts == sorted(starts)
+    assert scored.agg(F.min("day")).first()[0] > starts[0]
+    penalty, balanced, best = learning.chosen_logistic(df, "day", ((0.01, False), (50.0, False)))
+    assert (penalty, balanced) == (0.01, False) and best.count() == 300
+    risk = scored.select("target", learning.calibrated(F.col("p"), scored).alias("risk")).agg(F.avg("risk"), F.avg("target")).first()
+    assert abs(risk[0] - risk[1]) < 0.01
+    table = learning.coefficient_table(learning.fitted_logistic(df, 0.01, True), ("x", "y"), spark).collect()
+    assert [r["feature"] for r in table] == ["x", "y"] and table[0]["effect"] == "raises"
+    weights = learning.weighted(df, True).groupBy("target").agg(F.sum("weight").alias("w")).collect()
+    assert abs(weights[0]["w"] - weights[1]["w"]) < 1e-6
+
+    good, bad, pointer = (f"{tmp_path}/{n}" for n in ("good", "bad", "pointer"))
+    spark.createDataFrame([(1, 0.5), (2, 1.0)], "restaurant_key int, risk double").write.parquet(good)
+    spark.createDataFrame([(1, 0.5), (1, 1.5), (None, None)], "restaurant_key int, risk double").write.parquet(bad)
+    assert learning.verified_scores(spark.read.parquet(bad)) == {"empty": 0, "no_key": 1, "repeated": 1, "risk": 2}
+    assert learning.verified_scores(spark.read.parquet(good).limit(0))["empty"] == 1
+    assert not learning.promoted(spark, bad, pointer, "PASS") and not learning.promoted(spark, good, pointer, "FAIL") and learning.promoted_path(spark, pointer) is None
+    assert learning.promoted(spark, good, pointer, "WARN") and learning.promoted(spark, good, pointer, "PASS") and learning.promoted_path(spark, pointer) == (1, good)
