@@ -17,11 +17,12 @@ the symmetric difference, too, and rejects candidates before their sets are comp
 1024 bits have a wider one, of two bits for each shingle at least; of two widths the wider one is folded.
 
 Documents with the same set are one node. Links between nodes are found in rounds: in each shared block the
-member that stands first in a random order, the centre, is compared with all others. The first round has one order
-for all blocks, so neighbouring blocks compare the same pairs; the next ones have an order of each block's own. A
-round ends with the classes that its links make, and blocks whose members are all connected go. What is left then
-meets several centres a block, which leave it when they are compared: where size and parity bits allow, a pair is
-compared on the sets. Blocks of more members than centres go on in further rounds, with four times as many.
+member that stands first in a random order, the centre, is compared with all others and leaves the block. The first
+round has one order for all blocks, so neighbouring blocks compare the same pairs; the next ones have an order of
+each block's own. A round ends with the classes that its links make, and blocks whose members are all connected, or
+compared, go: most blocks have two members and are done at once. What is left then meets several centres a block:
+where size and parity bits allow, a pair is compared on the sets. Blocks of more members than centres go on in
+further rounds, with four times as many.
 """
 
 from __future__ import annotations
@@ -244,11 +245,16 @@ def _rounds(shared: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int,
         links = stored(_linked(ends, nodes, sets, percent), scratch(spark, "found"))
         return components(links, labels) if labels is None or links.limit(1).count() else labels
 
+    left = shared
     for r in range(rounds):
         order = F.xxhash64(*(["node"] if r == 0 else ["key", "node"]), F.lit(r))
-        drawn = _unconnected(shared, labels).withColumn("centre", F.min(F.struct(order.alias("at"), "node", "label")).over(by_key))
+        drawn = _unconnected(left, labels).withColumns({"centre": F.min(F.struct(order.alias("at"), "node", "label")).over(by_key), "members": F.count(F.lit(1)).over(by_key)})
         labels = known(drawn.where(F.col("label") != F.col("centre.label")).select(F.col("node").alias("x"), F.col("centre.node").alias("y")), labels)
-    few, left = CENTRES, shared
+        # the centre is done; of two members none is left to compare
+        left = stored(drawn.where((F.col("members") > 2) & (F.col("node") != F.col("centre.node"))).select("key", "node"), scratch(spark, "left"))
+        if not left.limit(1).count():
+            return labels
+    few = CENTRES
     while True:
         nth = F.row_number().over(by_key.orderBy(F.xxhash64("key", "node"), "node"))
         about = _unconnected(left, labels).withColumn("nth", nth).select("key", "node", "label", "nth").join(nodes.select("node", *ABOUT), "node")
