@@ -123,13 +123,18 @@ class Judge:
 
     @classmethod
     def counted(cls, toxic: Iterable[str], ordinary: Iterable[str], order: int = 4) -> Judge:
-        letters, pairs = [Counter(), Counter()], [Counter(), Counter()]
+        letters, placed, number = [Counter(), Counter()], [[], []], {"^": 0, "$": 1}
         for k, every in enumerate((toxic, ordinary)):
             for t in every:
-                words = words_of(t)
-                letters[k].update(words)
-                pairs[k].update(zip(["^", *words], [*words, "$"], strict=True) if words else ())
-        again = [Counter({g: n for g, n in c.items() if n > 1 or g in other}) for c, other in (pairs, pairs[::-1])]
+                if words := words_of(t):
+                    letters[k].update(words)
+                    at = np.array([0, *(number.setdefault(w, len(number)) for w in words), 1], np.int64)
+                    placed[k].append(at[:-1] << 32 | at[1:])
+        names, counts = list(number), [np.unique(np.concatenate(p) if p else np.zeros(0, np.int64), return_counts=True) for p in placed]
+        again = []
+        for (pairs, n), (other, _) in (counts, counts[::-1]):
+            keep = (n > 1) | np.isin(pairs, other)
+            again.append(Counter({(names[g >> 32], names[g & 0xFFFFFFFF]): m for g, m in zip(pairs[keep].tolist(), n[keep].tolist(), strict=True)}))
         return cls(KneserNey.counted(*letters, order=order), KneserNey.of_grams(again, 2))
 
     def scorer(self, kept: int = 200_000):
@@ -217,8 +222,10 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = 2500, order: int = 4, mo
     part = Judge.counted((t for t, x in rest if x), (t for t, x in rest if not x), order)
     score = part.scorer()
     part.fitted((score(t) for t, _ in held), (x for _, x in held), rate)
+    slopes, middle = part.slopes, part.middle
+    del part, score
     whole = Judge.counted((t for _, x, t in sample if x), (t for _, x, t in sample if not x), order)
-    whole.slopes, whole.middle = part.slopes, part.middle
+    whole.slopes, whole.middle = slopes, middle
     return whole
 
 
