@@ -25,6 +25,8 @@ from millrace.plans.roles import ORACLES, QUERIES, TOTAL, areas, complaints, fin
 
 #: Weeks and lags that correlations may be asked for.
 WEEKS, LAGS = (8, 12, 26, 52, 104), (0, 1, 2, 4, 8)
+#: The key of no area.
+NOWHERE = -2
 FLAGS = ("improved", "repeat_critical", "graded", "ungraded")
 
 
@@ -48,10 +50,12 @@ def digest_key(value: str) -> str:
 
 
 def area_of(spark: SparkSession, d: str, name: str | None) -> int | None:
-    """The key of an area by its name in any case; None for all areas. The list of areas is short."""
+    """The key of an area by its name in any case; None for all areas. The list of areas is short; while it is empty nothing is in any."""
     if name is None:
         return None
     known = {r["area_name"]: r["area_key"] for r in areas(spark, d).collect()}
+    if not known:
+        return NOWHERE
     return known[one_of("area", name.strip().upper(), known)]
 
 
