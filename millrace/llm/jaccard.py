@@ -7,9 +7,9 @@ for a symmetric difference of d at most, k > d blocks leave some that agree (pig
 are candidates where a block agrees. k follows from a band of set sizes; a document takes part in its own
 band and in all bands down to that of the smallest partner it may have.
 
-Blocks of few shingles say little and could be shared by very many documents. They are not used: k has
-blocks to spare, and a document with more thin blocks than those deals its shingles again by another hash,
-until some round leaves it enough. Of two similar documents, the one that is done first finds an agreeing
+Blocks of few shingles say little and could be shared by very many documents. k has blocks to spare, so only
+a document's d + 1 largest blocks are used, and a document that has fewer than those of the least size deals
+its shingles again by another hash, until some round leaves it enough. Of two similar documents, the one that is done first finds an agreeing
 block in its last round, in which both take part; so no link is lost.
 
 A second sketch has one parity bit for each of 1024 hash values: its Hamming distance is a lower bound of
@@ -71,16 +71,18 @@ def plan(band: int, percent: int) -> tuple[int, int, int]:
     d = (100 - percent) * union // 100
     if d == 0:
         return 0, 1, 1
-    if d < 8:
-        return d, d + 4, 1
-    k = d + 5 + d // 12
+    k = d + 4 + d // 8
     mean = largest(band) / RATIO / k  # shingles in a block of the smallest sets that take part
     thin = k * np.exp(-mean) * (1 + mean)
-    return d, k, 2 if thin <= 1.3 * (k - d) else 1  # blocks of two only where enough of them are to be expected
+    return d, k, 2 if thin + np.sqrt(thin) < k - d else 1  # blocks of two only where enough of them are to be expected
 
 
 def blocks(u: np.ndarray, percent: int, plans: dict[int, tuple[int, int, int]]) -> np.ndarray:
-    """The keys of a set's blocks, in every band and round in which it takes part."""
+    """The keys of a set's blocks, in every band and round in which it takes part.
+
+    Of two similar sets the agreeing block that is the largest (then the first by place) has d larger ones at
+    most in either set, as all of those differ. So the d + 1 largest blocks do.
+    """
     n, out = len(u), []
     for band in range(band_of(-(-percent * n // 100)), band_of(n) + 1) if n else ():
         if band not in plans:
@@ -91,12 +93,14 @@ def blocks(u: np.ndarray, percent: int, plans: dict[int, tuple[int, int, int]])
             at = at.astype(np.int64)
             words = np.zeros(k, np.uint64)
             np.bitwise_xor.at(words, at, u)
-            use = np.bincount(at, minlength=k) >= least
-            enough = k - int(use.sum()) < k - d
+            held = np.bincount(at, minlength=k)
+            place = np.argsort(-held, kind="stable")
+            use = place[held[place] >= least]
+            enough = len(use) > d
             if not enough and seed == SEEDS - 1:
-                use[:] = True
-            place = np.flatnonzero(use)[: d + 1 if enough else k]  # the first d + 1 do: of them one agrees
-            out.append(mixed(words[place] ^ mixed(place.astype(np.uint64) + np.uint64((band << 40) + (seed << 32)))))
+                use = place
+            use = use[: d + 1 if enough else k]
+            out.append(mixed(words[use] ^ mixed(use.astype(np.uint64) + np.uint64((band << 40) + (seed << 32)))))
             if enough:
                 break
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
