@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import exact, html, jaccard, lm, media, mixing, packing, records, substrings, toxicity
+from millrace.llm import audit, exact, html, jaccard, lm, media, mixing, packing, records, substrings, toxicity
 from millrace.llm.common import table
 
 
@@ -99,6 +99,54 @@ WITH d AS (
 SELECT doc_id, size, source_size, target, repeats, CAST(repeats * size AS BIGINT) AS taken FROM q
 """
 
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OP12_SQL = r"""
+WITH letters AS (
+    SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x, unnest([1, 2, 4, 8, 16]) AS bit
+), d AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), f AS (
+    SELECT part,
+           CASE WHEN len(words) < 100 THEN 1 ELSE 0 END
+           + CASE WHEN 100 * len(list_distinct(words)) < 80 * len(words) THEN 2 ELSE 0 END
+           + CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]+', '', 'g')) > 10 * length(text) THEN 4 ELSE 0 END
+           + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END
+           + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 16 ELSE 0 END AS mask,
+           coalesce(quality, 0) AS quality, coalesce(toxic, 0) AS toxic
+    FROM d LEFT JOIN (
+        SELECT doc_id AS labelled, max(CAST(quality = 1 AS INT)) AS quality, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels GROUP BY doc_id
+    ) ON doc_id = labelled
+), m AS (
+    SELECT part, mask, count(*) AS n, sum(quality) AS good, sum(toxic) AS bad FROM f GROUP BY part, mask
+), o AS (
+    SELECT a.x || b.x || c.x || e.x || g.x AS filter_order, [a.bit, b.bit, c.bit, e.bit, g.bit] AS bits
+    FROM letters a JOIN letters b ON b.x <> a.x JOIN letters c ON c.x NOT IN (a.x, b.x)
+    JOIN letters e ON e.x NOT IN (a.x, b.x, c.x) JOIN letters g ON g.x NOT IN (a.x, b.x, c.x, e.x)
+), s AS (
+    SELECT filter_order, step, bits[step] AS bit, CAST(coalesce(list_sum(bits[1:step - 1]), 0) AS INT) AS before
+    FROM o, (SELECT unnest([1, 2, 3, 4, 5]) AS step)
+), r AS (
+    SELECT part, filter_order, step, bit,
+           sum(CASE WHEN mask & (before + bit) = 0 THEN n ELSE 0 END) AS kept,
+           sum(CASE WHEN mask & bit > 0 AND mask & before = 0 THEN n ELSE 0 END) AS removed,
+           sum(CASE WHEN mask & bit > 0 AND mask & before > 0 THEN n ELSE 0 END) AS redundant,
+           sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+           sum(CASE WHEN mask & bit > 0 AND mask & before = 0 THEN good ELSE 0 END) AS good_lost,
+           sum(CASE WHEN mask & bit > 0 AND mask & before = 0 THEN bad ELSE 0 END) AS toxic_lost
+    FROM m, s GROUP BY part, filter_order, step, bit
+)
+SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM r
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_records": op1_token_records,
     "op2_lm_scores": op2_lm_scores,
@@ -110,6 +158,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_media_columns": op8_media_columns,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_mix_sources": op10_mix_sources,
+    "op12_filter_audit": op12_filter_audit,
 }
 
-SQL = {"op9_exact_dedup": OP9_SQL, "op10_mix_sources": OP10_SQL}
+SQL = {"op9_exact_dedup": OP9_SQL, "op10_mix_sources": OP10_SQL, "op12_filter_audit": OP12_SQL}
