@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import audit, exact, html, jaccard, lm, media, mixing, packing, records, substrings, toxicity
+from millrace.llm import audit, exact, fim, html, jaccard, lm, media, mixing, packing, records, substrings, toxicity
 from millrace.llm.common import table
 
 
@@ -147,6 +147,34 @@ SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS ke
 FROM r
 """
 
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.fim_digests(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+           regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS tokens
+    FROM documents
+), k AS (
+    SELECT doc_id, text, tokens, CAST(len(tokens) AS BIGINT) AS n,
+           CAST('0x' || h[1:8] AS BIGINT) % (len(tokens) + 1) AS a, CAST('0x' || h[9:16] AS BIGINT) % (len(tokens) + 1) AS b,
+           CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 50 THEN 'plain'
+                WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+    FROM d
+), c AS (
+    SELECT doc_id, text, n, form, array_to_string(tokens[1:least(a, b)], '') AS prefix,
+           array_to_string(tokens[least(a, b) + 1:greatest(a, b)], '') AS middle, array_to_string(tokens[greatest(a, b) + 1:], '') AS suffix
+    FROM k
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM c
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_records": op1_token_records,
     "op2_lm_scores": op2_lm_scores,
@@ -159,6 +187,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_mix_sources": op10_mix_sources,
     "op12_filter_audit": op12_filter_audit,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
-SQL = {"op9_exact_dedup": OP9_SQL, "op10_mix_sources": OP10_SQL, "op12_filter_audit": OP12_SQL}
+SQL = {"op9_exact_dedup": OP9_SQL, "op10_mix_sources": OP10_SQL, "op12_filter_audit": OP12_SQL, "op13_fill_in_middle": OP13_SQL}
