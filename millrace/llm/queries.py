@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import audit, exact, fim, html, jaccard, lm, media, mixing, packing, records, substrings, toxicity
+from millrace.llm import audit, exact, fertility, fim, html, jaccard, lm, media, mixing, packing, records, substrings, toxicity
 from millrace.llm.common import table
 
 
@@ -100,6 +100,11 @@ SELECT doc_id, size, source_size, target, repeats, CAST(repeats * size AS BIGINT
 """
 
 
+def op11_fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path
+    return fertility.quality(table(spark, sf_dir, "documents"), path("piece_bpe_32k.model"), path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -186,6 +191,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_media_columns": op8_media_columns,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_mix_sources": op10_mix_sources,
+    "op11_fertility_rules": op11_fertility_rules,
     "op12_filter_audit": op12_filter_audit,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
