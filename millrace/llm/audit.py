@@ -23,6 +23,8 @@ from millrace.llm.common import text_of
 
 #: Bytes of text that a task merges before it hands them to the shuffle.
 HELD = 32 << 20
+#: Bytes of text of a partition to which texts are routed, about.
+ROUTED = 64 << 20
 
 CAPITALS = bytes(range(65, 91))
 SYMBOLS = b"#$%&*|"
@@ -77,7 +79,9 @@ def masks(docs: DataFrame, filters: dict = FILTERS, text: str = "text", doc_id:
     copy = sum(1 << i for i, rule in enumerate(filters.values()) if rule is None)
     whole = text_of(text)
     source = docs.select(F.xxhash64(whole), F.col(doc_id).cast("long"), F.coalesce(F.col(part).cast("string"), F.lit("")), F.length(whole), whole.cast("binary")).rdd
-    partitions = partitions or max(2 * source.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    if not partitions:
+        size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+        partitions = max(-(-size // ROUTED), int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def told(rows: Iterable[tuple]) -> Iterator[tuple]:
         """((fingerprint, 1), (text, least id, kinds)) of a task's texts, and ((any, 0), row) of rows that are done."""
