@@ -41,8 +41,13 @@ def running(counts: DataFrame, keys: list[str]) -> DataFrame:
 
 def ranking(df: DataFrame, score: str, label: str, segments: list[str] | None = None) -> DataFrame:
     """A row per segment: n, positives, auc, average_precision, brier, log_loss; AUC and precision are null with one class only."""
+    return ranked(by_score(df, score, label, segments), segments)
+
+
+def ranked(counts: DataFrame, segments: list[str] | None = None) -> DataFrame:
+    """As ranking, from rows (segments, score, n, positives), which may repeat a score."""
     keys = segments or []
-    run = running(by_score(df, score, label, keys), keys)
+    run = running(counts.groupBy(*keys, "score").agg(F.sum("n").alias("n"), F.sum("positives").alias("positives")), keys)
     negatives = F.col("n") - F.col("positives")
     # a negative loses to all positives above it, and to half of those with its score
     wins = negatives * (F.col("tp") - F.col("positives") + F.col("positives") / 2)

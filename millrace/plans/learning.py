@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators import metrics
+from millrace.operators import metrics, trees
 from millrace.operators.rows import top_per_key
 from millrace.plans.models import FRAME_SQL, daily, history_frame
-from millrace.plans.roles import query, table
+from millrace.plans.roles import areas, query, restaurants, table
 
 NUMBERS = ("score", "previous_score", "days_since_previous", "mean_score_3", "visits_3", "known_days", "a_days", "b_days", "c_days", "visits_ever")
 FORBIDDEN = ("target", "next_inspected", "next_grade", "restaurant_key", "inspected")
@@ -130,6 +134,16 @@ def time_folds(spark: SparkSession, d: str) -> DataFrame:
     return metrics.date_folds(scored_labels(spark, d), "day", 4).groupBy("fold", "part").agg(F.count(F.lit(1)).alias("days"), F.min("day").alias("first"), F.max("day").alias("last"))
 
 
+@contextmanager
+def kept(df: DataFrame) -> Iterator[DataFrame]:
+    """df in the executors' memory or on their disks while a model learns from it; given back afterwards."""
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield held
+    finally:
+        held.unpersist()
+
+
 def logit(p: Column) -> Column:
     bounded = F.least(F.greatest(p, F.lit(1e-6)), F.lit(1 - 1e-6))
     return F.ln(bounded / (1 - bounded))
@@ -168,14 +182,20 @@ def fitted_logistic(rows: DataFrame, penalty: float, balanced: bool):
     return LogisticRegression(labelCol="target", weightCol="weight", regParam=penalty, standardization=False, maxIter=50).fit(weighted(rows, balanced))
 
 
-def out_of_fold(rows: DataFrame, date: str, fit, splits: int = FOLDS) -> DataFrame:
-    """Rows of the test parts of expanding folds by date, each with p from a model of the days before it: what calibration and choice may look at."""
-    folds, out = metrics.date_folds(rows, date, splits).cache(), None
+def fold_parts(rows: DataFrame, date: str, splits: int) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """Rows to learn from and rows to score of each expanding fold by date that has both classes to learn from. They are held until the next fold."""
+    folds = metrics.date_folds(rows, date, splits)
     for k in range(1, splits + 1):
         part = lambda name, k=k: rows.join(folds.where((F.col("fold") == k) & (F.col("part") == name)).select(date), date, "left_semi")
-        train, test = part("train"), part("test")
-        if train.select("target").distinct().limit(2).count() < 2:
-            continue
+        with kept(part("train")) as train, kept(part("test")) as test:
+            if train.select("target").distinct().limit(2).count() == 2:
+                yield train, test
+
+
+def out_of_fold(rows: DataFrame, date: str, fit, splits: int = FOLDS) -> DataFrame:
+    """Rows of the test parts of expanding folds by date, each with p from a model of the days before it: what calibration and choice may look at."""
+    out = None
+    for train, test in fold_parts(rows, date, splits):
         scored = fit(train).transform(test).withColumn("p", vector_to_array(F.col("probability"))[1])
         out = scored if out is None else out.unionByName(scored)
     return rows.withColumn("p", F.lit(None).cast("double")).limit(0) if out is None else out.select(*rows.columns, "p")
@@ -184,14 +204,8 @@ def out_of_fold(rows: DataFrame, date: str, fit, splits: int = FOLDS) -> DataFra
 def chosen_logistic(train: DataFrame, date: str = "next_inspected", grid: tuple[tuple[float, bool], ...] = GRID) -> tuple[float, bool, DataFrame]:
     """Of a grid what has the best average precision out of fold (the first of equals), and its out-of-fold rows. A tuning run
     for itself: it fits FOLDS models for each entry."""
-    best = None
-    for penalty, balanced in grid:
-        scored = out_of_fold(train, date, lambda part, c=penalty, w=balanced: fitted_logistic(part, c, w)).select("target", "p").cache()
-        found = metrics.ranking(scored, "p", "target").first()
-        value = (found["average_precision"] if found else None) or 0.0
-        if best is None or value > best[0] + 1e-9:
-            best = (value, penalty, balanced, scored)
-    return best[1:]
+    penalty, balanced = best_of(train, date, grid, lambda part, entry: fitted_logistic(part, *entry))
+    return penalty, balanced, out_of_fold(train, date, lambda part: fitted_logistic(part, penalty, balanced)).select("target", "p")
 
 
 def calibrated(p: Column, scored: DataFrame) -> Column:
@@ -214,10 +228,10 @@ def logistic_scores(spark: SparkSession, d: str) -> DataFrame:
     """Calibrated risk of rows after the cutoff, their tier, and the three features that add most to it. The curve is fitted on
     out-of-fold scores."""
     train, test = _assembled(spark, d)
-    train = train.cache()
-    scored = out_of_fold(train, "next_inspected", lambda part: fitted_logistic(part, 0.01, False)).select("target", "p").cache()
-    model = fitted_logistic(train, 0.01, False)
-    risk = calibrated(vector_to_array(F.col("probability"))[1], scored)
+    with kept(train) as train:
+        scored = out_of_fold(train, "next_inspected", lambda part: fitted_logistic(part, 0.01, False)).select("target", "p")
+        risk = calibrated(vector_to_array(F.col("probability"))[1], scored)
+        model = fitted_logistic(train, 0.01, False)
     return model.transform(test).select("restaurant_key", "inspected", "target", F.round(risk, 6).alias("risk"), contributions(model.coefficients).alias("factors")).withColumn("tier", metrics.tier(F.col("risk"), F.lit(0.45), F.lit(0.55)))
 
 
@@ -234,10 +248,10 @@ def refreshed_scores(spark: SparkSession, d: str) -> DataFrame:
     mature = rows.where(F.col("next_inspected") <= F.lit("2001-05-31").cast("date"))
     now = top_per_key(history_frame(daily(spark, d)), ["restaurant_key"], [F.desc("inspected")])
     assembled = lambda df: VectorAssembler(inputCols=guarded([f"z_{c}" for c in NUMBERS]), outputCol="features").transform(imputed_scaled(mature, df, NUMBERS))
-    train = assembled(mature).cache()
-    scored = out_of_fold(train, "next_inspected", lambda part: fitted_logistic(part, 0.01, False)).select("target", "p").cache()
-    model = fitted_logistic(train, 0.01, False)
-    risk = calibrated(vector_to_array(F.col("probability"))[1], scored)
+    with kept(assembled(mature)) as train:
+        scored = out_of_fold(train, "next_inspected", lambda part: fitted_logistic(part, 0.01, False)).select("target", "p")
+        risk = calibrated(vector_to_array(F.col("probability"))[1], scored)
+        model = fitted_logistic(train, 0.01, False)
     return model.transform(assembled(now)).select("restaurant_key", "inspected", F.round(risk, 6).alias("risk"), contributions(model.coefficients).alias("factors"))
 
 
@@ -267,12 +281,109 @@ def promoted_path(spark: SparkSession, pointer: str) -> tuple[int, str] | None:
     return row["version"], row["scores"]
 
 
+def fitted_trees(rows: DataFrame, depth: int = 3, rounds: int = 10, pace: float = 0.1):
+    """Boosted trees; with one class alone they score all rows alike."""
+    return GBTClassifier(labelCol="target", maxIter=rounds, maxDepth=depth, stepSize=pace, subsamplingRate=0.8, featureSubsetStrategy="0.8", minInstancesPerNode=5, seed=42).fit(rows)
+
+
+#: Depth, rounds and pace that the trees are chosen from.
+TREE_GRID = tuple((depth, rounds, pace) for depth in (2, 3) for rounds in (5, 10) for pace in (0.05, 0.1))
+
+
 @query()
 def gbt_scores(spark: SparkSession, d: str) -> DataFrame:
     """Risk by boosted trees of rows after the cutoff."""
     train, test = _assembled(spark, d)
-    model = GBTClassifier(labelCol="target", maxIter=10, maxDepth=3, stepSize=0.1, subsamplingRate=0.8, featureSubsetStrategy="0.8", minInstancesPerNode=5, seed=42).fit(train)
-    return model.transform(test).select("restaurant_key", "inspected", "target", F.round(vector_to_array(F.col("probability"))[1], 6).alias("risk"))
+    return fitted_trees(train).transform(test).select("restaurant_key", "inspected", "target", F.round(vector_to_array(F.col("probability"))[1], 6).alias("risk"))
+
+
+def explained(model, rows: DataFrame, names: tuple[str, ...] = NUMBERS) -> DataFrame:
+    """rows with margin, bias, parts (what each feature adds to the margin) and factors (the three that raise it most)."""
+    nodes = trees.nodes_of(model)
+    told = model.transform(rows).withColumn("__v", vector_to_array(F.col("features")))
+    parts = trees.contributions(nodes, F.col("__v"), names)
+    out = told.select(*rows.columns, vector_to_array(F.col("rawPrediction"))[1].alias("margin"), F.lit(trees.bias(nodes)).alias("bias"), vector_to_array(F.col("probability"))[1].alias("p"), parts.alias("parts"))
+    return out.withColumn("factors", trees.greatest(F.col("parts")))
+
+
+@query()
+def tree_factors(spark: SparkSession, d: str) -> DataFrame:
+    """Risk by boosted trees of rows after the cutoff, calibrated on out-of-fold scores, with the three features that raise it most."""
+    train, test = _assembled(spark, d)
+    with kept(train) as train:
+        scored = out_of_fold(train, "next_inspected", fitted_trees).select("target", "p")
+        risk = calibrated(F.col("p"), scored)
+        model = fitted_trees(train)
+    return explained(model, test).select("restaurant_key", "inspected", "target", F.round(risk, 6).alias("risk"), "factors")
+
+
+def chosen_trees(train: DataFrame, date: str = "next_inspected", grid: tuple[tuple[int, int, float], ...] = TREE_GRID) -> tuple[int, int, float]:
+    """Of a grid what has the best average precision out of fold, the first of equals. A tuning run: two models for each entry."""
+    return best_of(train, date, grid, lambda part, entry: fitted_trees(part, *entry), 2)
+
+
+MEASURES = "n long, average_precision double, auc double, brier double"
+
+
+def grid_rows(train: DataFrame, date: str, grid, fit, splits: int = FOLDS) -> list[tuple]:
+    """For each entry of a grid the MEASURES of its out-of-fold scores; nulls where no fold has both classes to learn from."""
+    scored = None
+    for train_, test in fold_parts(train, date, splits):
+        for i, entry in enumerate(grid):
+            p = fit(train_, entry).transform(test).select(F.lit(i).alias("entry"), "target", vector_to_array(F.col("probability"))[1].alias("p"))
+            counted = metrics.by_score(p, "p", "target", ["entry"])
+            scored = counted if scored is None else scored.unionByName(counted)
+    found = {} if scored is None else {r["entry"]: r for r in metrics.ranked(scored, ["entry"]).collect()}  # a row per entry
+    return [tuple(found[i][m] for m in ("n", "average_precision", "auc", "brier")) if i in found else (0, None, None, None) for i in range(len(grid))]
+
+
+def best_of(train: DataFrame, date: str, grid, fit, splits: int = FOLDS):
+    """The entry with the best average precision, the first of equals."""
+    found = grid_rows(train, date, grid, fit, splits)
+    return grid[max(range(len(grid)), key=lambda i: (round(found[i][1] or 0.0, 9), -i))]
+
+
+@query()
+def logistic_grid(spark: SparkSession, d: str) -> DataFrame:
+    """Out-of-fold measures of every penalty and weighting that the logistic model is chosen from."""
+    train, _ = _assembled(spark, d)
+    with kept(train) as train:
+        found = grid_rows(train, "next_inspected", GRID, lambda part, e: fitted_logistic(part, *e), 2)
+    return spark.createDataFrame([(*e, *m) for e, m in zip(GRID, found, strict=True)], f"penalty double, balanced boolean, {MEASURES}")
+
+
+@query()
+def tree_grid(spark: SparkSession, d: str) -> DataFrame:
+    """Out-of-fold measures of every depth, number of rounds and pace that the trees are chosen from."""
+    train, _ = _assembled(spark, d)
+    with kept(train) as train:
+        found = grid_rows(train, "next_inspected", TREE_GRID, lambda part, e: fitted_trees(part, *e), 2)
+    return spark.createDataFrame([(*e, *m) for e, m in zip(TREE_GRID, found, strict=True)], f"depth int, rounds int, pace double, {MEASURES}")
+
+
+SUBGROUPS = {"month": 30, "area": 30, "cuisine": 75}
+
+
+def subgroups(scored: DataFrame, score: str, label: str, least: dict[str, int] = SUBGROUPS) -> DataFrame:
+    """kind, value and the metrics of every subgroup of a least size, for all kinds in one pass: rows shrink to one per
+    subgroup and score first. A subgroup of one class has no AUC and no precision; a null value is a group of its own."""
+    each = F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), F.col(k).cast("string").alias("value")) for k in least))).alias("g")
+    told = metrics.ranking(scored.select(score, label, each).select(score, label, "g.kind", "g.value"), score, label, ["kind", "value"])
+    enough = F.create_map(*(F.lit(x) for kv in least.items() for x in kv))
+    return told.where(F.col("n") >= enough[F.col("kind")])
+
+
+@query("areas restaurants", SCORED_SQL + """, labelled AS (SELECT score, label, strftime(o_orderdate::DATE, '%Y-%m') AS month, area_name AS area, cuisine FROM scored JOIN orders ON o_orderkey = key LEFT JOIN restaurants ON restaurant_key = o_custkey LEFT JOIN areas USING (area_key)),
+g AS (SELECT 'month' AS kind, month AS value, score, label FROM labelled UNION ALL SELECT 'area', area, score, label FROM labelled UNION ALL SELECT 'cuisine', cuisine, score, label FROM labelled),
+r AS (SELECT *, (rank() OVER (PARTITION BY kind, value ORDER BY score) + (count(*) OVER (PARTITION BY kind, value, score) - 1) / 2) AS rk, sum(label) OVER (PARTITION BY kind, value ORDER BY score DESC RANGE UNBOUNDED PRECEDING) AS above, count(*) OVER (PARTITION BY kind, value ORDER BY score DESC RANGE UNBOUNDED PRECEDING) AS seen FROM g)
+SELECT kind, value, count(*) AS n, CAST(sum(label) AS BIGINT) AS positives, CASE WHEN sum(label) BETWEEN 1 AND count(*) - 1 THEN round((sum(CASE WHEN label = 1 THEN rk END) - sum(label) * (sum(label) + 1) / 2) / nullif(sum(label) * (count(*) - sum(label)), 0), 6)::DOUBLE END AS auc,
+    CASE WHEN sum(label) BETWEEN 1 AND count(*) - 1 THEN round(sum(CASE WHEN label = 1 THEN above / seen END) / nullif(sum(label), 0), 6)::DOUBLE END AS average_precision, round(avg(pow(score - label, 2)), 6) AS brier FROM r GROUP BY kind, value HAVING count(*) >= CASE kind WHEN 'cuisine' THEN 75 ELSE 30 END""")
+def subgroup_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """How a score does by month, area and cuisine, where these have enough rows."""
+    own = table(spark, d, "orders").select(F.col("o_orderkey").alias("key"), F.col("o_custkey").alias("restaurant_key"))
+    rows = scored_labels(spark, d).join(own, "key").join(restaurants(spark, d).select("restaurant_key", "cuisine", "area_key"), "restaurant_key", "left").join(areas(spark, d), "area_key", "left")
+    scored = rows.select("score", "label", F.date_format("day", "yyyy-MM").alias("month"), F.col("area_name").alias("area"), "cuisine")
+    return rounded(subgroups(scored, "score", "label")).drop("log_loss")
 
 
 def monitored(quality: dict, baseline_rate: float, area_aucs: dict[str, float], shares: dict[str, tuple[float, float]]) -> tuple[str, dict[str, str]]:

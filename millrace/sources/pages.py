@@ -87,6 +87,6 @@ def checked(records, required: Sequence[str], page_size: int) -> list[dict]:
     if len(records) > page_size:
         raise ValueError(f"a page has {len(records)} records; {page_size} at most")
     for i, r in enumerate(records):
-        if not isinstance(r, dict) or (missing := [k for k in required if not r.get(k)]):
+        if not isinstance(r, dict) or (missing := [k for k in required if r.get(k) in (None, "")]):
             raise ValueError(f"record {i} lacks {missing if isinstance(r, dict) else 'its keys'}")
     return records
