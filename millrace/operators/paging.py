@@ -44,7 +44,12 @@ def number_rows(df: DataFrame, order: Order, path: str) -> None:
     """Writes df below path in ranges of an order, sorted inside each, with an index of how many rows precede each file's range.
 
     The rows are written once; numbers follow from a row's place in its range and the index, a row per file."""
-    ranged = df.repartitionByRange(*sorts(order)).sortWithinPartitions(*sorts(order))
+    number_sorted(df, sorts(order), path)
+
+
+def number_sorted(df: DataFrame, by: Sequence[Column], path: str) -> None:
+    """As number_rows, by sort columns."""
+    ranged = df.repartitionByRange(*by).sortWithinPartitions(*by)
     placed = ranged.withColumns({"__part": F.spark_partition_id(), "__place": F.monotonically_increasing_id().bitwiseAND(F.lit(WITHIN))})
     placed.write.parquet(f"{path}/rows")
     spark = df.sparkSession

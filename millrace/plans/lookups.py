@@ -9,7 +9,7 @@ from millrace.functions.numbers import percent
 from millrace.operators import metrics, names
 from millrace.operators.rows import top_per_key
 from millrace.plans.learning import SCORED_SQL, labelled, scored_labels
-from millrace.plans.models import DAILY_SQL, HISTORY_SQL, LATEST_SQL, PLACES_SQL, WEEKLY_SQL, history, latest_graded, named_places, weekly
+from millrace.plans.models import DAILY_SQL, HISTORY_SQL, LATEST_SQL, PLACES_SQL, SCORES_SQL, WEEKLY_SQL, history, latest_graded, named_places, rate_scores, weekly
 from millrace.plans.roles import TOTAL, areas, findings, inspections, query, restaurants, table
 
 KEY = 7
@@ -81,12 +81,12 @@ def weekly_recent(spark: SparkSession, d: str) -> DataFrame:
     return top_per_key(w, ["area_key"], [F.desc("week")], 12).select("week", "complaint_count", "finding_count", "critical_count")
 
 
-@query("restaurants", """t AS (SELECT restaurant_key, restaurant_name, cuisine, (restaurant_key * 7919 % 10007) / 10007.0::DOUBLE AS risk FROM restaurants), f AS (SELECT *, CASE WHEN risk >= 0.8 THEN 'HIGH' WHEN risk >= 0.5 THEN 'MODERATE' ELSE 'LOW' END AS category FROM t)
+@query("restaurants inspections", SCORES_SQL + """, f AS (SELECT *, CASE WHEN risk >= 0.68 THEN 'HIGH' WHEN risk >= 0.65 THEN 'MODERATE' ELSE 'LOW' END AS category FROM scores)
 SELECT restaurant_key, restaurant_name, cuisine, risk, category FROM f WHERE category = 'MODERATE' AND cuisine = 'BUILDING' ORDER BY risk DESC, restaurant_key LIMIT 25""")
 def risk_page(spark: SparkSession, d: str) -> DataFrame:
     """Scored restaurants of a category and cuisine, by risk (the page is the feature)."""
-    r = restaurants(spark, d).where("cuisine = 'BUILDING'").withColumn("risk", (F.col("restaurant_key") * 7919 % 10007) / F.lit(10007.0))
-    t = r.withColumn("category", metrics.tier(F.col("risk"), F.lit(0.5), F.lit(0.8))).where("category = 'MODERATE'")
+    r = rate_scores(spark, d).join(restaurants(spark, d).where("cuisine = 'BUILDING'"), "restaurant_key")
+    t = r.withColumn("category", metrics.tier(F.col("risk"), F.lit(0.65), F.lit(0.68))).where("category = 'MODERATE'")
     return t.orderBy(F.desc("risk"), "restaurant_key").limit(25).select("restaurant_key", "restaurant_name", "cuisine", "risk", "category")
 
 

@@ -299,3 +299,25 @@ def lookback_outcome(spark: SparkSession, d: str) -> DataFrame:
 def improvement_rate(h: DataFrame) -> DataFrame:
     """area_key, improvement_rate: of inspections after a B or C, those that reached an A."""
     return h.groupBy("area_key").agg(ratio(F.count_if("improved_to_a"), F.count_if(F.col("previous_grade").isin("B", "C")), 100.0).alias("improvement_rate"))
+
+
+SCORES_SQL = DAILY_SQL + """, led AS (SELECT restaurant_key, inspected, grade, lead(grade) OVER w AS next_grade, row_number() OVER (PARTITION BY restaurant_key ORDER BY inspected DESC) AS k FROM daily WINDOW w AS (PARTITION BY restaurant_key ORDER BY inspected)),
+rates AS (SELECT grade, cuisine, count(*) AS n, count(*) FILTER (next_grade IN ('B', 'C')) AS bad FROM led JOIN restaurants USING (restaurant_key) WHERE next_grade IS NOT NULL GROUP BY ALL),
+scores AS (SELECT restaurant_key, restaurant_name, restaurants.cuisine, area_key, round((coalesce(bad, 0) + 1) / (coalesce(n, 0) + 2), 6)::DOUBLE AS risk FROM led JOIN restaurants USING (restaurant_key) LEFT JOIN rates ON rates.grade = led.grade AND rates.cuisine IS NOT DISTINCT FROM restaurants.cuisine WHERE k = 1)"""
+
+
+def rate_scores(spark: SparkSession, d: str) -> DataFrame:
+    """restaurant_key, risk of every graded restaurant: how often a B or C has followed its latest grade among restaurants of its cuisine, all their graded days counted, one of each outcome more."""
+    w = Window.partitionBy("restaurant_key").orderBy("inspected")
+    mine = restaurants(spark, d).select("restaurant_key", "cuisine")
+    led = daily(spark, d).select("restaurant_key", "inspected", "grade", F.lead("grade").over(w).alias("next_grade")).join(mine, "restaurant_key")
+    rates = led.where("next_grade IS NOT NULL").groupBy("grade", "cuisine").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("next_grade").isin("B", "C")).alias("bad")).select(F.col("grade").alias("__g"), F.col("cuisine").alias("__c"), "n", "bad")
+    now = led.where("next_grade IS NULL")  # a restaurant's last graded day has no next one
+    none = F.lit(0)
+    scored = now.join(rates, (F.col("grade") == F.col("__g")) & F.col("cuisine").eqNullSafe(F.col("__c")), "left")
+    return scored.select("restaurant_key", F.round((F.coalesce("bad", none) + 1) / (F.coalesce("n", none) + 2), 6).alias("risk"))
+
+
+def restaurant_chains(spark: SparkSession, d: str) -> DataFrame:
+    """restaurant_key of restaurants that belong to a chain: the place of the same number does."""
+    return names.chains(named_places(spark, d)).where("is_chain").select(F.col("place_key").alias("restaurant_key"))

@@ -10,7 +10,7 @@ from millrace.functions.text import FINDING_LABELS, ISSUE_LABELS, finding_label,
 from millrace.operators import grids
 from millrace.operators.nearest import matched, nearby
 from millrace.operators.rows import top_per_key
-from millrace.plans.models import DAILY_SQL, HISTORY_SQL, LATEST_SQL, PLACES_SQL, WEEKLY_SQL, daily, history, latest_graded, named_places, weekly
+from millrace.plans.models import DAILY_SQL, HISTORY_SQL, LATEST_SQL, PLACES_SQL, SCORES_SQL, WEEKLY_SQL, daily, history, latest_graded, named_places, rate_scores, weekly
 from millrace.plans.roles import GRADES, TOTAL, areas, complaints, findings, inspections, query, restaurants, table
 
 # Fixed choices of the registered queries.
@@ -290,25 +290,26 @@ def freshness(spark: SparkSession, d: str) -> DataFrame:
     return a.crossJoin(complaints(spark, d).agg(F.max("created").alias("last_complaint"))).crossJoin(findings(spark, d).agg(F.count(F.lit(1)).alias("findings")))
 
 
-@query("", PLACES_SQL + """, s AS (SELECT *, (place_key * 37 % 1000) / 1000.0::DOUBLE AS risk FROM chained WHERE is_chain), t AS (SELECT *, CASE WHEN risk >= 0.7 THEN 'HIGH' WHEN risk >= 0.4 THEN 'MODERATE' ELSE 'LOW' END AS tier FROM s),
+@query("", PLACES_SQL + """, r AS (SELECT l_partkey AS place_key, count(*) AS n, count(*) FILTER (l_returnflag = 'R') AS bad FROM lineitem GROUP BY ALL),
+s AS (SELECT chained.*, round((coalesce(bad, 0) + 1) / (coalesce(n, 0) + 2), 6)::DOUBLE AS risk, coalesce(bad, 0) >= 12 AS repeated FROM chained LEFT JOIN r USING (place_key) WHERE is_chain), t AS (SELECT *, CASE WHEN risk >= 0.3 THEN 'HIGH' WHEN risk >= 0.2 THEN 'MODERATE' ELSE 'LOW' END AS tier FROM s),
 w AS (SELECT family_name, place_key FROM (SELECT *, row_number() OVER (PARTITION BY family_name ORDER BY risk DESC, place_key DESC) AS k FROM t) WHERE k = 1)
-SELECT t.family_name AS chain_name, count(*) AS locations, round(avg(risk), 6) AS average_risk, count(*) FILTER (tier = 'HIGH') AS high_locations, any_value(w.place_key) AS riskiest, bool_or(t.place_key % 13 = 0) AS any_repeated FROM t JOIN w USING (family_name) GROUP BY t.family_name""")
+SELECT t.family_name AS chain_name, count(*) AS locations, round(avg(risk), 6) AS average_risk, count(*) FILTER (tier = 'HIGH') AS high_locations, any_value(w.place_key) AS riskiest, bool_or(repeated) AS any_repeated FROM t JOIN w USING (family_name) GROUP BY t.family_name""")
 def chain_risk(spark: SparkSession, d: str) -> DataFrame:
-    """Risk of each chain from its locations' scores."""
+    """Risk of each chain from its locations' scores: the share of critical findings among all at a place, one of each kind more; repeated from a dozen on."""
     from millrace.operators import metrics, names
 
-    k = F.col("place_key")
-    scored = names.chains(named_places(spark, d)).where("is_chain").withColumn("risk", (k * 37 % 1000) / F.lit(1000.0)).withColumn("tier", metrics.tier(F.col("risk"), F.lit(0.4), F.lit(0.7)))
-    return scored.groupBy("chain_name").agg(F.count(F.lit(1)).alias("locations"), F.round(F.avg("risk"), 6).alias("average_risk"), F.count_if(F.col("tier") == "HIGH").alias("high_locations"), F.max(F.struct("risk", "place_key"))["place_key"].alias("riskiest"), F.bool_or(k % 13 == 0).alias("any_repeated"))
+    none = F.lit(0)
+    found = table(spark, d, "lineitem").groupBy(F.col("l_partkey").alias("place_key")).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("l_returnflag") == "R").alias("bad"))
+    placed = names.chains(named_places(spark, d)).where("is_chain").join(found, "place_key", "left")
+    scored = placed.withColumns({"risk": F.round((F.coalesce("bad", none) + 1) / (F.coalesce("n", none) + 2), 6), "repeated": F.coalesce("bad", none) >= 12}).withColumn("tier", metrics.tier(F.col("risk"), F.lit(0.2), F.lit(0.3)))
+    return scored.groupBy("chain_name").agg(F.count(F.lit(1)).alias("locations"), F.round(F.avg("risk"), 6).alias("average_risk"), F.count_if(F.col("tier") == "HIGH").alias("high_locations"), F.max(F.struct("risk", "place_key"))["place_key"].alias("riskiest"), F.bool_or("repeated").alias("any_repeated"))
 
 
-@query("restaurants", """SELECT restaurant_key, restaurant_name, (restaurant_key * 7919 % 10007) / 10007.0::DOUBLE AS risk FROM restaurants ORDER BY risk DESC, restaurant_key LIMIT 20""")
+@query("restaurants inspections", SCORES_SQL + " SELECT restaurant_key, restaurant_name, risk FROM scores ORDER BY risk DESC, restaurant_key LIMIT 20")
 def risk_top(spark: SparkSession, d: str) -> DataFrame:
     """The twenty highest scores joined to their restaurants (a top-k report)."""
-    r = restaurants(spark, d)
-    scores = r.select("restaurant_key", ((F.col("restaurant_key") * 7919 % 10007) / F.lit(10007.0)).alias("risk"))
-    best = scores.orderBy(F.desc("risk"), "restaurant_key").limit(20)
-    return best.join(r.select("restaurant_key", "restaurant_name"), "restaurant_key", "left").select("restaurant_key", "restaurant_name", "risk")
+    best = rate_scores(spark, d).orderBy(F.desc("risk"), "restaurant_key").limit(20)
+    return best.join(restaurants(spark, d).select("restaurant_key", "restaurant_name"), "restaurant_key", "left").select("restaurant_key", "restaurant_name", "risk")
 
 
 # Descriptions for the label rules, by the key's remainder.

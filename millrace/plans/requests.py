@@ -16,17 +16,20 @@ from pyspark.sql import functions as F
 from millrace.functions.numbers import EARTH_ROUND, fisher_bound, pearson, percent, strength
 from millrace.functions.numbers import direction as sign_of
 from millrace.functions.text import has_terms, search_terms
-from millrace.operators import grids, metrics, names
+from millrace.operators import grids, metrics, names, paging
 from millrace.operators.nearest import nearby
 from millrace.operators.rows import top_per_key
-from millrace.plans.models import HISTORY_SQL, LATEST_SQL, PLACES_SQL, WEEKLY_SQL, history, latest_graded, named_places, weekly
+from millrace.plans.models import HISTORY_SQL, LATEST_SQL, PLACES_SQL, SCORES_SQL, WEEKLY_SQL, history, latest_graded, named_places, rate_scores, restaurant_chains, weekly
 from millrace.plans.reads import area_scorecard
 from millrace.plans.roles import ORACLES, QUERIES, TOTAL, areas, complaints, findings, inspections, oracle, query, restaurants
+from millrace.plans.streams import folder
 
 #: Weeks and lags that correlations may be asked for.
 WEEKS, LAGS = (8, 12, 26, 52, 104), (0, 1, 2, 4, 8)
 #: The key of no area.
 NOWHERE = -2
+#: Rows before a page up to which one task sorts them away.
+DEEP = 10_000
 FLAGS = ("improved", "repeat_critical", "graded", "ungraded")
 
 
@@ -75,10 +78,15 @@ def ordered(sorts: Mapping[str, Column], sort: str, down: bool, *ties: Column) -
 
 
 def paged(hits: DataFrame, order: list[Column], page: int, size: int) -> DataFrame:
-    """One page, with the number of all hits."""
-    at = between("page", page, 1, 10**6) - 1
+    """One page, with the number of all hits. Up to DEEP rows the page is the end of a top-k; a deeper one is found by numbers
+    that ranges of the order give, so no task holds what comes before it."""
+    at = (between("page", page, 1, 10**6) - 1) * between("size", size, 1, 100)
     total = F.broadcast(hits.agg(F.count(F.lit(1)).alias("total")))
-    return hits.orderBy(*order).offset(at * between("size", size, 1, 100)).limit(size).crossJoin(total)
+    if at < DEEP:
+        return hits.orderBy(*order).offset(at).limit(size).crossJoin(total)
+    path = folder(hits.sparkSession, "deep")
+    paging.number_sorted(hits, order, path)
+    return paging.page(hits.sparkSession, path, page, size).drop("row_number").crossJoin(total)
 
 
 def asked(name: str, roles: str, sql: str):
@@ -203,7 +211,7 @@ asked("complaints_of_no_known_kind", "complaints", "SELECT CAST(created AS DATE)
 
 
 def search(spark: SparkSession, d: str, text: str = "", area: str | None = None, cuisine: str | None = None, grade: str | None = None, flag: str | None = None, sort: str = "name", down: bool = False, page: int = 1, size: int = 25) -> DataFrame:
-    """Restaurants by words, area, cuisine, latest grade and a flag, sorted, a page of them with the number of all."""
+    """Restaurants by words, area, cuisine, latest grade and a flag, sorted, a page of them with the number of all. Restaurants of chains are neither improved nor repeat_critical."""
     rows = in_area(restaurants(spark, d), area_of(spark, d, area)).join(F.broadcast(areas(spark, d)), "area_key", "left")
     last = history(spark, d).where("recency = 1").select("restaurant_key", "grade", "score", "inspected", "improved_to_a")
     rows = rows.join(last, "restaurant_key", "left")
@@ -217,6 +225,8 @@ def search(spark: SparkSession, d: str, text: str = "", area: str | None = None,
     again = findings(spark, d).where("critical").select("inspection_id", "code").distinct().join(inspections(spark, d).select("inspection_id", "restaurant_key"), "inspection_id").groupBy("restaurant_key", "code").count().where("count >= 2").select("restaurant_key").distinct()
     if flag is not None:
         one_of("flag", flag, FLAGS)
+        if flag in ("improved", "repeat_critical"):
+            rows = rows.join(restaurant_chains(spark, d), "restaurant_key", "left_anti")
         rows = rows.join(again, "restaurant_key", "left_semi") if flag == "repeat_critical" else rows.where({"improved": F.col("improved_to_a"), "graded": F.col("grade").isNotNull(), "ungraded": F.col("grade").isNull()}[flag])
     hits = rows.select("restaurant_key", "restaurant_name", "cuisine", "area_name", "grade", "score", "inspected")
     sorts = {"name": F.col("restaurant_name"), "score": F.col("score"), "grade": F.col("grade"), "inspected": F.col("inspected"), "cuisine": F.col("cuisine")}
@@ -224,20 +234,20 @@ def search(spark: SparkSession, d: str, text: str = "", area: str | None = None,
 
 
 def _search_sql(where: str, order: str, page: int, size: int) -> str:
-    return HISTORY_SQL + f""", again AS (SELECT DISTINCT restaurant_key FROM (SELECT restaurant_key, code FROM findings JOIN inspections USING (inspection_id) WHERE critical GROUP BY ALL HAVING count(DISTINCT inspection_id) >= 2)),
+    return HISTORY_SQL + ", " + PLACES_SQL + f""", again AS (SELECT DISTINCT restaurant_key FROM (SELECT restaurant_key, code FROM findings JOIN inspections USING (inspection_id) WHERE critical GROUP BY ALL HAVING count(DISTINCT inspection_id) >= 2)),
     hits AS (SELECT restaurant_key, restaurant_name, cuisine, area_name, grade, score, inspected FROM restaurants LEFT JOIN areas USING (area_key) LEFT JOIN (SELECT * FROM history WHERE recency = 1) USING (restaurant_key) WHERE {where})
     SELECT *, (SELECT count(*) FROM hits) AS total FROM hits ORDER BY {order}, restaurant_key LIMIT {size} OFFSET {(page - 1) * size}"""
 
 
 SEARCHED = "areas restaurants inspections findings"
-asked("search_improved_in_asia", SEARCHED, _search_sql("area_name = 'ASIA' AND grade = 'A' AND previous_grade IN ('B', 'C')", "inspected DESC NULLS LAST", 1, 20))(lambda spark, d: search(spark, d, area="Asia", flag="improved", sort="inspected", down=True, size=20))
-asked("search_repeats_second_page", SEARCHED, _search_sql("cuisine = 'BUILDING' AND restaurant_key IN (SELECT restaurant_key FROM again)", "score NULLS LAST", 2, 10))(lambda spark, d: search(spark, d, cuisine="building", flag="repeat_critical", sort="score", page=2, size=10))
+asked("search_improved_in_asia", SEARCHED, _search_sql("area_name = 'ASIA' AND grade = 'A' AND previous_grade IN ('B', 'C') AND restaurant_key NOT IN (SELECT place_key FROM chained WHERE is_chain)", "inspected DESC NULLS LAST", 1, 20))(lambda spark, d: search(spark, d, area="Asia", flag="improved", sort="inspected", down=True, size=20))
+asked("search_repeats_second_page", SEARCHED, _search_sql("cuisine = 'BUILDING' AND restaurant_key IN (SELECT restaurant_key FROM again) AND restaurant_key NOT IN (SELECT place_key FROM chained WHERE is_chain)", "score NULLS LAST", 2, 10))(lambda spark, d: search(spark, d, cuisine="building", flag="repeat_critical", sort="score", page=2, size=10))
 asked("search_words_and_grade", SEARCHED, _search_sql("grade = 'B' AND contains(upper(restaurant_name), 'CUSTOMER') AND area_name = 'EUROPE'", "restaurant_name DESC NULLS LAST", 1, 5))(lambda spark, d: search(spark, d, "customer at europe", grade="B", sort="name", down=True, size=5))
 asked("search_graded", SEARCHED, _search_sql("grade IS NOT NULL", "cuisine NULLS LAST", 3, 50))(lambda spark, d: search(spark, d, flag="graded", sort="cuisine", page=3, size=50))
 
 
-def around(spark: SparkSession, d: str, key: int, radius: int = 1000, same_cuisine: bool = False, limit: int = 10) -> DataFrame:
-    """The nearest restaurants with a latest grade A around one, of its cuisine if asked for."""
+def around(spark: SparkSession, d: str, key: int, radius: int = 1000, same_cuisine: bool = False, limit: int = 10, independent_only: bool = False) -> DataFrame:
+    """The nearest restaurants with a latest grade A around one, of its cuisine, and of no chain, if asked for."""
     between("radius", radius, 100, 5000)
     between("limit", limit, 1, 50)
     every = restaurants(spark, d)
@@ -246,6 +256,7 @@ def around(spark: SparkSession, d: str, key: int, radius: int = 1000, same_cuisi
         return every.limit(0).select("restaurant_key", "restaurant_name", F.lit(0.0).alias("distance"))
     others = every.where(F.col("restaurant_key") != key)
     others = others.where(F.col("cuisine") == centre["cuisine"]) if same_cuisine else others
+    others = others.join(restaurant_chains(spark, d), "restaurant_key", "left_anti") if independent_only else others
     near = nearby(others, centre["lat"], centre["lon"], float(radius), EARTH_ROUND).join(latest_graded(spark, d).where("grade = 'A'").select("restaurant_key"), "restaurant_key", "left_semi")
     return near.orderBy("distance", "restaurant_key").limit(limit).select("restaurant_key", "restaurant_name", F.round("distance", 3).alias("distance"))
 
@@ -257,6 +268,7 @@ def _around_sql(key: int, radius: int, more: str, limit: int) -> str:
 
 
 asked("around_in_two_km", "restaurants inspections", _around_sql(12, 2000, "true", 50))(lambda spark, d: around(spark, d, 12, 2000, False, 50))
+asked("around_independent", "restaurants inspections", PLACES_SQL + ", " + _around_sql(5, 3000, "n.restaurant_key NOT IN (SELECT place_key FROM chained WHERE is_chain)", 20))(lambda spark, d: around(spark, d, 5, 3000, False, 20, True))
 asked("around_of_same_cuisine", "restaurants inspections", _around_sql(3, 5000, "n.cuisine = own", 5))(lambda spark, d: around(spark, d, 3, 5000, True, 5))
 
 
@@ -270,67 +282,84 @@ KEY_11 = "4fc82b26aecb47d2868c4efbe3581732a3e7cbcc6c2efb32062c08170a05eeb8"
 asked("history_of_key", "restaurants inspections", HISTORY_SQL + f"SELECT inspection_id, inspected, grade, score, previous_grade FROM history WHERE sha256(CAST(restaurant_key AS VARCHAR)) = '{KEY_11}'")(lambda spark, d: history_of(spark, d, KEY_11.upper()))
 
 
-def improved(spark: SparkSession, d: str, day: str, days: int = 90, limit: int = 10) -> DataFrame:
-    """Restaurants whose latest grade is an A behind a B or C, reached in the days before a day."""
+def improved(spark: SparkSession, d: str, day: str, days: int = 90, limit: int = 10, area: str | None = None) -> DataFrame:
+    """Restaurants of an area, or of all, whose latest grade is an A behind a B or C, reached in the days before a day."""
     since = F.date_sub(F.lit(day).cast("date"), between("days", days, 1, 365))
     h = history(spark, d).where((F.col("recency") == 1) & F.col("improved_to_a") & (F.col("inspected") >= since) & (F.col("inspected") <= F.lit(day).cast("date")))
-    return h.join(restaurants(spark, d).select("restaurant_key", "restaurant_name"), "restaurant_key").orderBy(F.desc("inspected"), "restaurant_key").limit(between("limit", limit, 1, 50)).select("restaurant_key", "restaurant_name", "inspected", "previous_grade", "score")
+    return h.join(in_area(restaurants(spark, d), area_of(spark, d, area)).select("restaurant_key", "restaurant_name"), "restaurant_key").orderBy(F.desc("inspected"), "restaurant_key").limit(between("limit", limit, 1, 50)).select("restaurant_key", "restaurant_name", "inspected", "previous_grade", "score")
 
 
 asked("improved_in_thirty_days", "restaurants inspections", HISTORY_SQL + "SELECT restaurant_key, restaurant_name, inspected, previous_grade, score FROM history JOIN restaurants USING (restaurant_key) WHERE recency = 1 AND grade = 'A' AND previous_grade IN ('B', 'C') AND inspected BETWEEN DATE '2001-06-30' - 30 AND DATE '2001-06-30' ORDER BY inspected DESC, restaurant_key LIMIT 5")(lambda spark, d: improved(spark, d, "2001-06-30", 30, 5))
 
+asked("improved_in_europe", "areas restaurants inspections", HISTORY_SQL + "SELECT restaurant_key, restaurant_name, inspected, previous_grade, score FROM history JOIN restaurants USING (restaurant_key) JOIN areas USING (area_key) WHERE recency = 1 AND grade = 'A' AND previous_grade IN ('B', 'C') AND inspected BETWEEN DATE '2001-06-30' - 90 AND DATE '2001-06-30' AND area_name = 'EUROPE' ORDER BY inspected DESC, restaurant_key LIMIT 50")(lambda spark, d: improved(spark, d, "2001-06-30", 90, 50, "europe"))
 
-def chains(spark: SparkSession, d: str, text: str = "", brand: str | None = None, sort: str = "locations", down: bool = True, page: int = 1, size: int = 20) -> DataFrame:
-    """Chains by words and by a brand among theirs, sorted; a missing figure sorts as the least one."""
+
+def chains(spark: SparkSession, d: str, text: str = "", brand: str | None = None, sort: str = "locations", down: bool = True, page: int = 1, size: int = 20, area: str | None = None, confirmed: Collection[str] | None = None) -> DataFrame:
+    """Chains by words, by a brand among theirs, by an area in which they have a place (where all their figures are of that area's
+    places) and by a reviewed list of brands, of which they must have one; sorted, a missing figure as the least one."""
     places = names.chains(named_places(spark, d)).where("is_chain")
+    if area is not None:
+        inside = in_area(restaurants(spark, d), area_of(spark, d, area)).select(F.col("restaurant_key").alias("place_key"))
+        places = places.join(inside, "place_key", "left_semi")
     c = places.groupBy("chain_name").agg(F.count(F.lit(1)).alias("locations"), F.round(F.avg("size"), 6).alias("average_size"), F.array_sort(F.collect_set("brand")).alias("brands"), F.count_distinct("cuisine").alias("cuisines"))
     words = spark.range(1).select(search_terms(F.lit(text)).alias("t")).first()[0] if text else []
     c = c.where(has_terms([F.col("chain_name")], words)) if words else c
     c = c.where(F.array_contains("brands", brand)) if brand is not None else c
+    c = c.where(F.arrays_overlap("brands", F.array(*map(F.lit, sorted(confirmed))))) if confirmed is not None else c
     sorts = {"locations": F.coalesce("locations", F.lit(0)), "average_size": F.coalesce("average_size", F.lit(-1.0)), "name": F.col("chain_name"), "cuisines": F.col("cuisines")}
     return paged(c.withColumn("brands", F.array_join("brands", "|")), ordered(sorts, sort, down, F.asc("chain_name")), page, size)
 
 
-def _chains_sql(where: str, order: str, page: int, size: int) -> str:
-    return PLACES_SQL + f""", c AS (SELECT family_name AS chain_name, count(*) AS locations, round(avg(size), 6) AS average_size, list_sort(list_distinct(list(brand))) AS b, count(DISTINCT cuisine) AS cuisines FROM chained WHERE is_chain GROUP BY family_name),
+def _chains_sql(where: str, order: str, page: int, size: int, inside: str = "true") -> str:
+    return PLACES_SQL + f""", c AS (SELECT family_name AS chain_name, count(*) AS locations, round(avg(size), 6) AS average_size, list_sort(list_distinct(list(brand))) AS b, count(DISTINCT cuisine) AS cuisines FROM chained WHERE is_chain AND {inside} GROUP BY family_name),
     hits AS (SELECT chain_name, locations, average_size, array_to_string(b, '|') AS brands, cuisines FROM c WHERE {where}) SELECT *, (SELECT count(*) FROM hits) AS total FROM hits ORDER BY {order}, chain_name LIMIT {size} OFFSET {(page - 1) * size}"""
 
 
 asked("chains_of_a_brand", "", _chains_sql("list_contains(b, 'Brand#13')", "average_size DESC", 1, 10))(lambda spark, d: chains(spark, d, brand="Brand#13", sort="average_size", size=10))
+asked("chains_confirmed_in_asia", "areas restaurants", _chains_sql("list_has_any(b, ['Brand#11', 'Brand#25', 'Brand#31'])", "locations DESC", 1, 15, "place_key IN (SELECT restaurant_key FROM restaurants JOIN areas USING (area_key) WHERE area_name = 'ASIA')"))(lambda spark, d: chains(spark, d, size=15, area="Asia", confirmed={"Brand#25", "Brand#31", "Brand#11"}))
 asked("chains_by_name", "", _chains_sql("true", "cuisines", 2, 7))(lambda spark, d: chains(spark, d, sort="cuisines", down=False, page=2, size=7))
 
 
-def _risks(spark: SparkSession, d: str) -> DataFrame:
-    risk = (F.col("restaurant_key") * 7919 % 10007) / F.lit(10007.0)
-    return restaurants(spark, d).withColumn("risk", risk).withColumn("category", metrics.tier(F.col("risk"), F.lit(0.5), F.lit(0.8)))
+#: Risks from which a restaurant counts as MODERATE and as HIGH.
+TIERS = (0.65, 0.68)
+
+
+def _risks(spark: SparkSession, d: str, scores: DataFrame | None) -> DataFrame:
+    told = rate_scores(spark, d) if scores is None else scores.select("restaurant_key", "risk")
+    return restaurants(spark, d).join(told, "restaurant_key").withColumn("category", metrics.tier(F.col("risk"), *map(F.lit, TIERS)))
 
 
-def risks(spark: SparkSession, d: str, text: str = "", area: str | None = None, category: str | None = None, sort: str = "risk", down: bool = True, page: int = 1, size: int = 25) -> DataFrame:
-    """Scored restaurants by words, area and category, sorted, a page of them with the number of all."""
-    rows = in_area(_risks(spark, d), area_of(spark, d, area))
+def risks(spark: SparkSession, d: str, text: str = "", area: str | None = None, category: str | None = None, sort: str = "risk", down: bool = True, page: int = 1, size: int = 25, cuisine: str | None = None, scores: DataFrame | None = None) -> DataFrame:
+    """Scored restaurants by words, area, cuisine and category, sorted, a page of them with the number of all. scores: a table
+    (restaurant_key, risk) that a model left, such as refreshed_scores; without one the rates of the grades count."""
+    rows = in_area(_risks(spark, d, scores), area_of(spark, d, area))
     rows = rows if category is None else rows.where(F.col("category") == one_of("category", category, ("LOW", "MODERATE", "HIGH")))
+    rows = rows if cuisine is None else rows.where(F.upper("cuisine") == cuisine.strip().upper())
     words = spark.range(1).select(search_terms(F.lit(text)).alias("t")).first()[0] if text else []
     rows = rows.where(has_terms([F.col("restaurant_name"), F.col("cuisine")], words)) if words else rows
     hits = rows.select("restaurant_key", "restaurant_name", "cuisine", "risk", "category")
     return paged(hits, ordered({"risk": F.col("risk"), "name": F.col("restaurant_name"), "cuisine": F.col("cuisine")}, sort, down, F.asc("restaurant_key")), page, size)
 
 
-def risk_of(spark: SparkSession, d: str, key: int) -> DataFrame:
-    """One restaurant's risk beside its latest grade; no row for an unknown key."""
+def risk_of(spark: SparkSession, d: str, key: int, scores: DataFrame | None = None) -> DataFrame:
+    """One restaurant's risk beside its latest grade; no row for a key that is unknown or has no score."""
     last = latest_graded(spark, d).where(F.col("restaurant_key") == key).select("restaurant_key", "grade", "inspected")
-    return _risks(spark, d).where(F.col("restaurant_key") == key).join(last, "restaurant_key", "left").select("restaurant_key", "restaurant_name", "risk", "category", "grade", "inspected")
+    return _risks(spark, d, scores).where(F.col("restaurant_key") == key).join(last, "restaurant_key", "left").select("restaurant_key", "restaurant_name", "risk", "category", "grade", "inspected")
 
 
-RISK_SQL = "t AS (SELECT *, (restaurant_key * 7919 % 10007) / 10007.0::DOUBLE AS risk FROM restaurants), f AS (SELECT *, CASE WHEN risk >= 0.8 THEN 'HIGH' WHEN risk >= 0.5 THEN 'MODERATE' ELSE 'LOW' END AS category FROM t)"
-asked("risks_in_asia", "areas restaurants", RISK_SQL + ", h AS (SELECT restaurant_key, restaurant_name, cuisine, risk, category FROM f JOIN areas USING (area_key) WHERE area_name = 'ASIA' AND category = 'HIGH') SELECT *, (SELECT count(*) FROM h) AS total FROM h ORDER BY risk DESC, restaurant_key LIMIT 5 OFFSET 5")(lambda spark, d: risks(spark, d, area="ASIA", category="HIGH", page=2, size=5))
-asked("risks_of_machinery_by_name", "restaurants", RISK_SQL + ", h AS (SELECT restaurant_key, restaurant_name, cuisine, risk, category FROM f WHERE contains(upper(cuisine), 'MACHINERY')) SELECT *, (SELECT count(*) FROM h) AS total FROM h ORDER BY restaurant_name, restaurant_key LIMIT 25")(lambda spark, d: risks(spark, d, "machinery", sort="name", down=False))
-asked("risk_of_one", "restaurants inspections", LATEST_SQL + ", " + RISK_SQL + " SELECT restaurant_key, restaurant_name, risk, category, grade, latest.inspected FROM f LEFT JOIN latest USING (restaurant_key) WHERE restaurant_key = 7")(lambda spark, d: risk_of(spark, d, 7))
+RISK_SQL = SCORES_SQL + ", f AS (SELECT *, CASE WHEN risk >= 0.68 THEN 'HIGH' WHEN risk >= 0.65 THEN 'MODERATE' ELSE 'LOW' END AS category FROM scores)"
+RISKS = ", h AS (SELECT restaurant_key, restaurant_name, cuisine, risk, category FROM f LEFT JOIN areas USING (area_key) WHERE {}) SELECT *, (SELECT count(*) FROM h) AS total FROM h ORDER BY {}, restaurant_key LIMIT {} OFFSET {}"
+SCORED = "areas restaurants inspections"
+asked("risks_in_asia", SCORED, RISK_SQL + RISKS.format("area_name = 'ASIA' AND category = 'MODERATE'", "risk DESC", 5, 5))(lambda spark, d: risks(spark, d, area="ASIA", category="MODERATE", page=2, size=5))
+asked("risks_of_machinery_by_name", SCORED, RISK_SQL + RISKS.format("contains(upper(cuisine), 'MACHINERY')", "restaurant_name", 25, 0))(lambda spark, d: risks(spark, d, "machinery", sort="name", down=False))
+asked("risks_of_a_cuisine", SCORED, RISK_SQL + RISKS.format("cuisine = 'HOUSEHOLD'", "risk", 40, 40))(lambda spark, d: risks(spark, d, cuisine=" household ", down=False, page=2, size=40))
+asked("risk_of_one", "restaurants inspections", RISK_SQL + ", " + LATEST_SQL + " SELECT restaurant_key, restaurant_name, risk, category, grade, latest.inspected FROM f LEFT JOIN latest USING (restaurant_key) WHERE restaurant_key = 7")(lambda spark, d: risk_of(spark, d, 7))
 
 
-@query("inspections restaurants", "SELECT restaurant_key, inspection_id, inspected, lat, lon FROM (SELECT *, row_number() OVER (PARTITION BY restaurant_key ORDER BY inspected DESC NULLS LAST, inspection_id DESC NULLS LAST) AS k FROM inspections JOIN restaurants USING (restaurant_key) WHERE lat BETWEEN 40.66 AND 40.74 AND inspection_id % 3 <> 0) WHERE k = 1")
+@query("inspections restaurants", "SELECT restaurant_key, inspection_id, inspected, lat, lon FROM (SELECT *, row_number() OVER (PARTITION BY restaurant_key ORDER BY inspected DESC NULLS LAST, inspection_id DESC NULLS LAST) AS k FROM inspections JOIN restaurants USING (restaurant_key) WHERE lat BETWEEN 40.66 AND 40.74) WHERE k = 1")
 def latest_valid_place(spark: SparkSession, d: str) -> DataFrame:
     """The latest inspection of each restaurant with coordinates inside a box; those without any valid one have no row."""
-    rows = inspections(spark, d).join(restaurants(spark, d).select("restaurant_key", "lat", "lon"), "restaurant_key").where(F.col("lat").between(40.66, 40.74) & (F.col("inspection_id") % 3 != 0))
+    rows = inspections(spark, d).join(restaurants(spark, d).select("restaurant_key", "lat", "lon"), "restaurant_key").where(F.col("lat").between(40.66, 40.74))
     return top_per_key(rows, ["restaurant_key"], [F.desc_nulls_last("inspected"), F.desc_nulls_last("inspection_id")]).select("restaurant_key", "inspection_id", "inspected", "lat", "lon")
 
 
