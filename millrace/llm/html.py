@@ -160,8 +160,16 @@ LOOSE = frozenset("header headers masthead banner banners promo promos promotion
 PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
 QUOTED = re.compile(r"""=\s*(["'])""")
-NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
-HIDDEN = re.compile(r"""(?:^|\s)hidden(?:[\s=/]|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+#: An attribute with its value, quoted or not.
+ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
+#: Elements whose names count: those that hold others. Names of headings, paragraphs and list items say nothing of what they hold.
+CONTAINERS = HOLDERS | {"form"}
+#: Names of sections of an article that count in their ids, too: other ids are made from headings.
+READERS = frozenset("comment comments reply replies respond disqus".split())
+#: Elements whose text is prose wherever it stands, if a page has neither an article nor a main element.
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dt dd td th figcaption".split())
+HEADINGS = frozenset("h2 h3 h4 h5 h6".split())
 SPACES = re.compile(r"\s+")
 WORDS = re.compile(r"\S+")
 #: A named container is taken for a wrapper, whatever its name, if it holds an article, main or h1 element and more than this share of the page's words.
@@ -245,10 +253,19 @@ def strength(tag: str, attributes: str, in_article: bool) -> int:
         return 3
     if not attributes or tag in ("html", "body"):
         return 2 * (tag == "form")
-    if HIDDEN.search(attributes):
-        return 3
-    names = {w.lower() for n in NAMED.findall(attributes) for w in PARTS.findall(n[0] or n[1] or n[2])}
-    return 2 if tag == "form" or names & PLAIN else int(not names.isdisjoint(LOOSE) and not (in_article and names & LOOSE <= {"header", "headers"}))
+    names, ids = set(), set()
+    for name, *values in ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), "".join(values)
+        if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and NO_DISPLAY.search(value):
+            return 3
+        if name in ("class", "role", "id"):
+            (ids if name == "id" else names).update(w.lower() for w in PARTS.findall(value))
+    if tag == "form":
+        return 2
+    if tag not in CONTAINERS:
+        return 0
+    names |= ids & READERS if in_article and tag == "section" else ids
+    return 2 if names & PLAIN else int(not names.isdisjoint(LOOSE) and not (in_article and names & LOOSE <= {"header", "headers"}))
 
 
 class Containers:
@@ -279,14 +296,15 @@ class Containers:
         return out
 
 
-def blocks(page: str) -> list[tuple[str, int, int, int, int, int]]:
-    """The text blocks of a page in order: text, words, words in links, beside, share, article."""
-    out: list[tuple[str, int, int, int, int]] = []
-    stack: list[tuple[str, int, int, int]] = []  # tag, container, article, links around
+def blocks(page: str) -> list[tuple[str, int, int, int, int, int, str]]:
+    """The text blocks of a page in order: text, words, words in links, beside, share, article, innermost block element ('' for none)."""
+    out: list[tuple[str, int, int, int, int, str]] = []
+    stack: list[tuple[str, int, int, int, str]] = []  # tag, container, article, links around, block element
     still: Counter = Counter()  # open tags
     within = Containers()
     parts: list[str] = []
     linked = links = inside = article = at = 0
+    block = ""
 
     def flush() -> None:
         nonlocal parts, linked
@@ -295,14 +313,14 @@ def blocks(page: str) -> list[tuple[str, int, int, int, int, int]]:
             if text:
                 words = len(WORDS.findall(text))
                 within.words[inside] += words - min(linked, words)
-                out.append((text, words, min(linked, words), inside, article))
+                out.append((text, words, min(linked, words), inside, article, block))
             parts, linked = [], 0
 
     def shut(i: int) -> None:
-        nonlocal inside, article, links
+        nonlocal inside, article, links, block
         still.subtract(s[0] for s in stack[i:])
         del stack[i:]
-        inside, article, links = stack[-1][1:] if stack else (0, 0, 0)
+        inside, article, links, block = stack[-1][1:] if stack else (0, 0, 0, "")
 
     silent = around = None  # around: a head that goes on behind a silent element in it
     walk, go = tags(page), None
@@ -370,23 +388,35 @@ def blocks(page: str) -> list[tuple[str, int, int, int, int, int]]:
             within.holds[inside] = True
         firm = strength(tag, attributes, bool(article))
         inside, article, links = within.open(inside, firm) if firm else inside, int(article or tag in ("article", "main")), links + (tag == "a")
-        stack.append((tag, inside, article, links))
+        block = block if tag in INLINE else tag
+        stack.append((tag, inside, article, links, block))
         still[tag] += 1
     if at < len(page) and (silent is None or silent == "head" and page[at:].strip()):
         parts.append(page[at:])
     flush()
     told = within.told()
-    return [(text, words, in_links, *told[c], in_article) for text, words, in_links, c, in_article in out]
+    return [(text, words, in_links, *told[c], in_article, element) for text, words, in_links, c, in_article, element in out]
 
 
 def main_text(page: str | None, tree: Tree | None = None) -> str:
+    """The blocks that the tree takes for main text.
+
+    Where a page has neither an article nor a main element, paragraphs, headings, lists and cells count as in one, and
+    so does a page without block elements. Links that make up a list behind a heading of an article are its sources:
+    they count as words."""
     tree, found = tree or default_tree(), blocks(page or "")
-    density = [100 * b[2] / b[1] if b[1] else 0 for b in found]
+    marked = any(b[5] for b in found)
+    bare = not any(b[6] not in ("", "html", "body") for b in found)
+    density = []
+    sources = False  # whether a list goes on that began behind a heading of the article
+    for i, b in enumerate(found):
+        sources = b[6] == "li" and bool(b[5]) and not b[3] and (sources or i > 0 and found[i - 1][6] in HEADINGS and not found[i - 1][2])
+        density.append(100 * b[2] / b[1] if b[1] and not sources else 0)
     kept = []
-    for i, (text, words, _, *surroundings) in enumerate(found):
+    for i, (text, words, _, beside, share, article, element) in enumerate(found):
         before = (found[i - 1][1], density[i - 1]) if i else (0, 0)
         behind = (found[i + 1][1], density[i + 1]) if i + 1 < len(found) else (0, 0)
-        if tree((words, density[i], *before, *behind, *surroundings)):
+        if tree((words, density[i], *before, *behind, beside, share, article or int(not marked and (bare or element in PROSE)))):
             kept.append(text)
     return "\n".join(kept)
 

@@ -91,3 +91,50 @@ def test_broken_and_long_pages_take_linear_time():
     assert html.main_text(BODY % '<p title="a > b" class=x>A title holds a mark.</p>').split("\n")[1] == "A title holds a mark."
     words = " ".join(f"w{i}" for i in range(200_000))
     assert html.main_text(f"<article><p>{words}</p></article>") == words
+
+
+def test_hidden_is_an_attribute_of_its_own():
+    for shown in ('title="The hidden truth of trees"', 'class="overflow hidden p4"', 'data-x=hidden', "alt='a display : none'", 'hidden-x="1"', 'aria-hidden="false"'):
+        assert html.main_text(f"<body><div {shown}>" + BODY % "" + "</div></body>") == BOTH, shown
+    for gone in ("hidden", "HIDDEN=''", "aria-hidden=true", 'style="color:red; display: none"'):
+        assert html.main_text("<body>" + BODY % f"<div {gone}><p>Words that nobody gets to see here.</p></div>" + "</body>") == BOTH, gone
+
+
+def test_short_blocks_of_pages_without_an_article_element():
+    assert html.main_text("<body><h1>Title here</h1><p>Short first paragraph.</p><p>Second short one.</p>") == "Title here\nShort first paragraph.\nSecond short one."
+    assert html.main_text("<div class=content><p>Three words only.</p><p>And then a paragraph that has just about a dozen words in it.</p></div>").count("\n") == 1
+    assert html.main_text("just a page of plain text\n without any markup") == "just a page of plain text without any markup"
+    assert html.main_text("<body><ul class=nav><li><a href=/>Home</a></ul><p>- Who is it?</p><p>- Me.</p><ul><li>one thing</li><li>another</li></ul><div id=footer><p>By nobody.</p></div>") == "- Who is it?\n- Me.\none thing\nanother"
+
+
+def test_names_of_headings_and_paragraphs_say_nothing():
+    for inside in (
+        '<section id="discussion"><p>Of which something is said at this place.</p></section>', '<h2 id="related-work">Other work that is related to it</h2>', '<h2 id="Advertising_in_1920">Advertising in those years, as it was</h2>',
+        '<p class="social">A social paragraph of the article stands here.</p>', '<section id="sharing-of-spoils"><h3 class="share">How it was shared out</h3></section>', '<ul><li id="comment-on-it">A thing that is listed</li></ul>',
+    ):
+        got = html.main_text("<body>" + BODY % inside + "</body>").split("\n")
+        assert len(got) == 3 and [got[0], got[2]] == BOTH.split("\n"), inside
+    for inside in ('<section id="comments"><p>A reader says a thing of his own here.</p></section>', '<div class="share">Share it with all of them now</div>', '<div id="related"><p>Other things to be read here.</p></div>'):
+        assert html.main_text("<body>" + BODY % inside + "</body>") == BOTH, inside
+
+
+def test_sources_of_an_article_stay():
+    links = "".join(f'<li><a href="/{i}">A source of number {i}</a></li>' for i in range(4))
+    end = BODY.replace("</article>", f"<h2>Sources</h2><ol>{links}</ol></article>") % ""
+    assert html.main_text(f"<body>{end}</body>") == BOTH + "\nSources\n" + "\n".join(f"A source of number {i}" for i in range(4))
+    assert html.main_text(f'<body><nav><h2>Menu</h2><ul>{links}</ul></nav>{BODY % ""}<div><ul>{links}</ul></div></body>') == BOTH
+
+
+def test_generated_layouts_give_their_own_text():
+    import random
+
+    rng = random.Random(11)
+    sentence = lambda: " ".join(rng.choice("the tree of a long old river stands where men went by".split()) for _ in range(rng.randint(4, 30))).capitalize() + "."
+    wraps = ["<article>{}</article>", "<main>{}</main>", '<div class="post">{}</div>', '<div id="page"><div class="content hidden-xs">{}</div></div>', "<section>{}</section>", "{}", '<main><div class="entry">{}</div></main>', "<table><tr><td>{}</td></tr></table>", '<div title="nav menu">{}</div>', '<article id="sharing">{}</article>']
+    around = ['<div class="navbar"><a href=/>Home</a> <a href=/b>Blog</a></div>', '<ul class="menu"><li><a href=/>Home</a><li><a href=/c>All posts</a></ul>', "<nav><a href=/>Home</a></nav>"]
+    below = ['<footer><p>Nobody, 1999</p></footer>', '<div class="footer">Nobody, 1999</div>', '<div id="comments"><p>A reader was here.</p></div>', '<aside><p>Read this as well, it is new.</p></aside>']
+    for wrap in wraps:
+        title, told = sentence(), [sentence() for _ in range(rng.randint(2, 7))]
+        body = f"<h1>{title}</h1>" + "".join(f"<p>{t}</p>" if i % 3 else f"<h2>{t}</h2>" for i, t in enumerate(told, 1))
+        page = f"<!DOCTYPE html><html><head><title>x</title></head><body>{rng.choice(around)}{wrap.format(body)}{rng.choice(below)}</body></html>"
+        assert html.main_text(page) == "\n".join([title, *told]), page
