@@ -26,10 +26,12 @@ _ID = attrgetter("id")
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder below spark.checkpoint.dir, which driver and executors share. Where that is
-    unset (tests, one machine), below a temporary folder."""
+    unset on one machine (tests), below a temporary folder; on a cluster that is an error."""
     global _own
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         _own = _own or tempfile.mkdtemp(prefix="millrace-")
         root = f"file://{_own}"
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -86,6 +88,9 @@ class TokenIds:
     with a full stop or comma behind at most, is one pre-token and its mark, and goes straight to
     the tokenizer's model; any other chunk goes through the whole tokenizer. The first `most` chunks
     are kept, which bounds memory.
+
+    Names of special tokens in a text are ordinary text, as the description of the vocabularies asks for
+    (encode_special_tokens): a document can't forge the end of another by naming it.
     """
 
     CUT = re.compile(r"(?<=\S) (?=\S)")

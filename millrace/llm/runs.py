@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 #: Runs of a level that are compacted into one of the next.
@@ -30,9 +32,9 @@ class Runs:
         return [run for level in self.levels for run in level]
 
     def place(self, level: int) -> str:
-        """Where a new run of a level goes."""
+        """Where a new run of a level goes. Its name is its own: what a job left that died before it saved the manifest is in nobody's way."""
         self.made += 1
-        return f"{self.path}/level-{level}/run-{self.made}"
+        return f"{self.path}/level-{level}/run-{self.made}-{uuid.uuid4().hex[:8]}"
 
     def settle(self) -> None:
         """Compacts every level that is full into the next, and saves the manifest."""

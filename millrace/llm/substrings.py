@@ -82,7 +82,7 @@ class FingerprintIndex(Runs):
         found = own.where("n > 1").select("fp")
         for earlier in self.every():
             found = found.unionByName(own.where("n = 1").select("fp").join(self._read(earlier).select("fp").distinct(), "fp", "left_semi"))
-        self.again.append(f"{self.path}/again/run-{self.made}")
+        self.again.append(f"{self.path}/again/{to.rpartition('/')[2]}")
         found.distinct().write.parquet(self.again[-1])
         self.levels[0].append(to)
         self.settle()

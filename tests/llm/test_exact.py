@@ -91,3 +91,25 @@ def test_lookups_pass_over_runs(spark, make):
         node = node.children().apply(0)
     assert node.metrics().apply("numOutputRows").value() < 400_000
     assert index.lookup(rows.limit(3)).count() == 3 and index.lookup(rows.where("id < 5000")).count() == 5000
+
+
+def test_an_index_survives_a_job_that_died_before_its_manifest(spark, make, prose, monkeypatch):
+    from millrace.llm.common import scratch
+
+    path, texts = scratch(spark, "test-digests"), prose(40, 6)
+    index = exact.DigestIndex(spark, path)
+    for k in range(3):
+        index.append(make([(10 * k + i, t) for i, t in enumerate(texts[10 * k : 10 * k + 10])]))
+    for dies in ("save", "merge"):  # the fourth run fills the level: it dies with its run written, and while compacting
+        broken = exact.DigestIndex.open(spark, path)
+        monkeypatch.setattr(broken, dies, lambda *a: 1 / 0)
+        try:
+            broken.append(make([(90, "lost")]))
+            raise AssertionError
+        except ZeroDivisionError:
+            pass
+    index = exact.DigestIndex.open(spark, path)
+    index.append(make([(25 + i, t) for i, t in enumerate(texts[25:40])]))
+    assert [len(level) for level in index.levels] == [0, 1]
+    want = {min(i for i, t in enumerate(texts) if t == u) for u in texts}
+    assert {r["keep_id"] for r in exact.DigestIndex.open(spark, path).compact().collect()} == want

@@ -63,3 +63,15 @@ def test_frame():
     f = records.frame(b"abc")
     assert struct.unpack("<Q", f[:8])[0] == 3 and records.unframed(memoryview(f), 0, "x") == (b"abc", len(f))
     assert records.parsed(records.payload_of(None, np.array([70000, 1], "<u4").tobytes()))[0] is None
+
+
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_random_texts_have_the_ids_of_the_library(path):
+    import random
+
+    rng, library, ours = random.Random(8), Tokenizer.from_file(path), TokenIds(path)
+    library.encode_special_tokens = True
+    some = [*"abcdefgh ABC  \n\t.,;'\"!?0123-_", "é", "ß", "ç", "日", "\u00a0", "\u2028", "😀", "the ", " and", "İ", "ﬁ", "\u0301", "<|endoftext|>", "'s", "'LL "]
+    texts = ["".join(rng.choice(some) for _ in range(rng.randint(1, 60))) for _ in range(6000)]
+    for t, want in zip(texts, library.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert np.frombuffer(ours.encode(t), "<u4").tolist() == want.ids, t

@@ -79,3 +79,23 @@ def test_batch_after_batch(spark, make, prose):
         want = brute(seen, 20)[len(seen) - len(part) :]
         assert order(got) == order(want), k
     assert [len(level) for level in index.levels] == [2, 1]
+
+
+def test_an_index_survives_a_job_that_died_before_its_manifest(spark, make, prose, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from millrace.llm.common import scratch
+
+    rows, path = corpus(prose, 9, 20), scratch(spark, "test-fingerprints")
+    substrings.FingerprintIndex(spark, path, 20).save()
+    first, second = rows[::2], rows[1::2]
+    substrings.deduplicated(substrings.FingerprintIndex.open(spark, path, 20), make(first)).count()
+    broken = substrings.FingerprintIndex.open(spark, path, 20)
+    monkeypatch.setattr(broken, "save", lambda: 1 / 0)
+    try:
+        substrings.deduplicated(broken, make(second))
+        raise AssertionError
+    except ZeroDivisionError:
+        pass
+    got = substrings.deduplicated(substrings.FingerprintIndex.open(spark, path, 20), make(second)).select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256)).collect()
+    assert order(got) == order(brute(first + second, 20)[len(first) :])
