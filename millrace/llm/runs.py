@@ -51,7 +51,7 @@ class Runs:
 
 
 def sorted_run(df: DataFrame, path: str, by: tuple[str, ...], ranged: bool) -> str:
-    """Writes a run, each file sorted; if ranged, files hold ranges. The first of `by` has a Bloom filter."""
+    """Writes a run, each file sorted; if ranged, files hold ranges. The first of `by` has a Bloom filter, as large as its values ask for."""
     df = df.sort(*by) if ranged else df.sortWithinPartitions(*by)
-    df.write.option(f"parquet.bloom.filter.enabled#{by[0]}", "true").option("parquet.bloom.filter.max.bytes", str(1 << 20)).option("parquet.block.size", str(16 << 20)).parquet(path)
+    df.write.option(f"parquet.bloom.filter.enabled#{by[0]}", "true").option("parquet.bloom.filter.adaptive.enabled", "true").option("parquet.bloom.filter.max.bytes", str(1 << 20)).option("parquet.block.size", str(16 << 20)).parquet(path)
     return path
