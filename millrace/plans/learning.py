@@ -345,19 +345,19 @@ def best_of(train: DataFrame, date: str, grid, fit, splits: int = FOLDS):
 
 @query()
 def logistic_grid(spark: SparkSession, d: str) -> DataFrame:
-    """Out-of-fold measures of every penalty and weighting that the logistic model is chosen from."""
+    """Measures of every penalty and weighting that the logistic model is chosen from, on the later half of the days before the cutoff."""
     train, _ = _assembled(spark, d)
     with kept(train) as train:
-        found = grid_rows(train, "next_inspected", GRID, lambda part, e: fitted_logistic(part, *e), 2)
+        found = grid_rows(train, "next_inspected", GRID, lambda part, e: fitted_logistic(part, *e), 1)
     return spark.createDataFrame([(*e, *m) for e, m in zip(GRID, found, strict=True)], f"penalty double, balanced boolean, {MEASURES}")
 
 
 @query()
 def tree_grid(spark: SparkSession, d: str) -> DataFrame:
-    """Out-of-fold measures of every depth, number of rounds and pace that the trees are chosen from."""
+    """Measures of every depth, number of rounds and pace that the trees are chosen from, on the later half of the days before the cutoff."""
     train, _ = _assembled(spark, d)
     with kept(train) as train:
-        found = grid_rows(train, "next_inspected", TREE_GRID, lambda part, e: fitted_trees(part, *e), 2)
+        found = grid_rows(train, "next_inspected", TREE_GRID, lambda part, e: fitted_trees(part, *e), 1)
     return spark.createDataFrame([(*e, *m) for e, m in zip(TREE_GRID, found, strict=True)], f"depth int, rounds int, pace double, {MEASURES}")
 
 
