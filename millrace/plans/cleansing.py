@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from millrace.functions.text import ascii_folded, cleaned, name_syntax
 from millrace.operators import cleaning, names, quality
 from millrace.operators.rows import drop_copies, newest_per_key
-from millrace.plans.models import DAILY_SQL, HISTORY_SQL, LATEST_SQL, PLACES_SQL, WEEKLY_SQL, area_grade_summary, daily, fact_complaint, fact_finding, history, latest_graded, named_places, next_event_label, weekly
+from millrace.plans.models import DAILY_SQL, HISTORY_SQL, LATEST_SQL, PLACES_SQL, WEEKLY_SQL, area_grade_summary, chain_flags, chain_summary, daily, dim_area, dim_complaint_type, dim_date, dim_finding, event_rollup, fact_complaint, fact_finding, history, latest_graded, named_places, next_event_label, weekly
 from millrace.plans.roles import GRADES, areas, complaints, findings, inspections, query, restaurants, table
 
 
@@ -91,17 +91,17 @@ def brands_in_names(spark: SparkSession, d: str) -> DataFrame:
     return names.contained_brands(named_places(spark, d), brands).select("name", F.array_join("brands", "|").alias("brands"))
 
 
-@query("", """a AS (SELECT DISTINCT upper(p_name) AS alias, string_split(upper(p_name), ' ')[1] AS brand FROM part WHERE p_partkey % 4 = 0), c AS (SELECT upper(p_name) AS location, p_brand AS brand, min(p_partkey) AS place FROM part WHERE p_partkey % 9 = 0 GROUP BY ALL),
+@query("", """a AS (SELECT DISTINCT upper(p_name) AS alias, string_split(upper(p_name), ' ')[1] AS brand FROM part), c AS (SELECT upper(p_name) AS location, p_brand AS brand, min(p_partkey) AS place FROM part GROUP BY ALL),
 k AS (SELECT DISTINCT p_brand AS brand FROM part WHERE p_size < 3 UNION SELECT DISTINCT string_split(upper(p_name), ' ')[1] FROM part WHERE p_size < 2),
 s AS (SELECT location, list(brand ORDER BY place, brand) AS l FROM c GROUP BY location), w AS (SELECT DISTINCT upper(p_name) AS name FROM part),
 ks AS (SELECT list(brand) AS known FROM k), o AS (SELECT w.name, coalesce(a.brand, w.name) AS canonical_name, coalesce(s.l, [coalesce(a.brand, w.name)]) AS l FROM w LEFT JOIN a ON a.alias = w.name LEFT JOIN s ON s.location = w.name)
 SELECT name, canonical_name, array_to_string(l, '|') AS candidates, array_to_string(list_filter(l, lambda b: list_contains(known, b)), '|') AS fast_food, len(l) > 1 AS is_co_brand FROM o, ks""")
 def brand_candidates(spark: SparkSession, d: str) -> DataFrame:
-    """Canonical names, candidate brands and those on a reviewed list."""
+    """Canonical names, candidate brands and those on a reviewed list: the brands of the smallest parts stand for it."""
     p = table(spark, d, "part").withColumn("name", F.upper("p_name"))
     first = F.element_at(F.split("name", " "), 1)
-    aliases = p.where("p_partkey % 4 = 0").select(F.col("name").alias("alias"), first.alias("brand")).distinct()
-    co = p.where("p_partkey % 9 = 0").groupBy(F.col("name").alias("location"), F.col("p_brand").alias("brand")).agg(F.min("p_partkey").alias("place"))
+    aliases = p.select(F.col("name").alias("alias"), first.alias("brand")).distinct()
+    co = p.groupBy(F.col("name").alias("location"), F.col("p_brand").alias("brand")).agg(F.min("p_partkey").alias("place"))
     known = p.where("p_size < 3").select(F.col("p_brand").alias("brand")).union(p.where("p_size < 2").select(first)).distinct()
     out = names.classified(p.select("name").distinct(), aliases, co, known)
     return out.select("name", "canonical_name", F.array_join("brand_candidates", "|").alias("candidates"), F.array_join("fast_food_brands", "|").alias("fast_food"), "is_co_brand")
@@ -189,12 +189,20 @@ COUNTS_SQL = {
     "labelled_days": ("(SELECT count(*) - count(DISTINCT restaurant_key) FROM daily)", "(SELECT count(*) FROM (SELECT lead(inspected) OVER (PARTITION BY restaurant_key ORDER BY inspected) AS n FROM daily) WHERE n IS NOT NULL)"),
     "weekly_grid": ("(SELECT count(*) FROM weeks) * ((SELECT count(*) FROM areas) + 1)", "(SELECT count(*) FROM grid)"),
     "critical_findings": ("(SELECT count(*) FROM lineitem WHERE l_returnflag = 'R')", "(SELECT CAST(coalesce(sum(critical_count), 0) AS BIGINT) FROM grid WHERE area_key = -1)"),
-    "inspected_weeks": ("(SELECT count(*) FROM orders)", "(SELECT CAST(coalesce(sum(complaint_count), 0) AS BIGINT) FROM grid WHERE area_key = -1)"),
+    "weekly_inspections": ("(SELECT count(*) FROM orders)", "(SELECT CAST(coalesce(sum(complaint_count), 0) AS BIGINT) FROM grid WHERE area_key = -1)"),
     "area_totals": ("(SELECT count(*) FROM latest)", "(SELECT CAST(coalesce(sum(n), 0) AS BIGINT) FROM (SELECT grade, count(*) AS n FROM latest JOIN restaurants USING (restaurant_key) GROUP BY grade))"),
+    "areas": ("(SELECT count(*) FROM region)", "(SELECT count(*) FROM areas)"),
+    "complaint_types": ("(SELECT count(DISTINCT upper(event_type)) FROM events)", "(SELECT count(DISTINCT upper(kind)) FROM complaints)"),
+    "finding_codes": ("(SELECT count(DISTINCT l_returnflag || l_linestatus) FROM lineitem)", "(SELECT count(DISTINCT code) FROM findings)"),
+    "event_rollups": ("(SELECT count(*) FROM orders)", "(SELECT count(DISTINCT inspection_id) FROM inspections)"),
+    "dates": ("(SELECT coalesce(date_diff('day', min(day), max(day)) + 1, 0) FROM (SELECT inspected AS day FROM inspections UNION ALL SELECT found FROM findings))", "(SELECT coalesce(date_diff('day', min(day), max(day)) + 1, 0) FROM (SELECT inspected AS day FROM inspections UNION ALL SELECT found FROM findings))"),
+    "chains": ("(SELECT count(DISTINCT family_name) FROM chained WHERE is_chain)", "(SELECT count(*) FROM (SELECT family_name FROM chained WHERE is_chain GROUP BY family_name))"),
+    "chain_locations": ("(SELECT count(*) FROM chained WHERE is_chain)", "(SELECT count(*) FROM chained WHERE is_chain)"),
+    "area_grades": ("(SELECT (count(*) + 1) * 3 FROM areas)", "(SELECT (count(*) + 1) * 3 FROM areas)"),
 }
 
 
-@query("areas restaurants inspections findings complaints", LATEST_SQL + ", " + HISTORY_SQL + ", " + DAILY_SQL + ", " + WEEKLY_SQL + ", k AS (" + " UNION ALL ".join(f"SELECT '{n}' AS check_name, {e} AS expected, {a} AS actual" for n, (e, a) in COUNTS_SQL.items()) + ") SELECT *, expected = actual AS passed FROM k")
+@query("areas restaurants inspections findings complaints", LATEST_SQL + ", " + HISTORY_SQL + ", " + DAILY_SQL + ", " + PLACES_SQL.replace("places", "named_places") + ", " + WEEKLY_SQL + ", k AS (" + " UNION ALL ".join(f"SELECT '{n}' AS check_name, {e} AS expected, {a} AS actual" for n, (e, a) in COUNTS_SQL.items()) + ") SELECT *, expected = actual AS passed FROM k")
 def reconciliation(spark: SparkSession, d: str) -> DataFrame:
     """Counts of layers against those they are made from; each side is counted by itself."""
     i, r = inspections(spark, d), restaurants(spark, d)
@@ -202,14 +210,20 @@ def reconciliation(spark: SparkSession, d: str) -> DataFrame:
     one = F.count(F.lit(1))
     n = lambda df: df.agg(one.alias("n"))
     total = lambda c: grid.agg(F.coalesce(F.sum(c), F.lit(0)).alias("n"))
+    flags, span = chain_flags(spark, d).where("is_chain"), i.select(F.col("inspected").alias("day")).unionAll(findings(spark, d).select(F.col("found").alias("day")))
     weeks = weekly(spark, d).select("week").distinct().agg(one.alias("w")).crossJoin(areas(spark, d).agg(one.alias("a"))).select((F.col("w") * (F.col("a") + 1)).alias("n"))
     return quality.counted({
         "findings": (n(table(spark, d, "lineitem")), n(fact_finding(spark, d))), "complaints": (n(table(spark, d, "events")), n(fact_complaint(spark, d))),
         "latest_grades": (n(graded.select("restaurant_key").distinct()), n(last)), "restaurants": (n(table(spark, d, "customer")), n(r.join(last.select("restaurant_key"), "restaurant_key", "left"))),
         "history": (n(graded), n(history(spark, d))), "graded_days": (n(graded.select("restaurant_key", "inspected").distinct()), n(days)),
         "labelled_days": (days.agg((one - F.count_distinct("restaurant_key")).alias("n")), n(next_event_label(spark, d).where("next_inspected IS NOT NULL"))),
-        "weekly_grid": (weeks, n(weekly(spark, d))), "critical_findings": (n(table(spark, d, "lineitem").where("l_returnflag = 'R'")), total("critical_count")), "inspected_weeks": (n(table(spark, d, "orders")), total("complaint_count")),
+        "weekly_grid": (weeks, n(weekly(spark, d))), "critical_findings": (n(table(spark, d, "lineitem").where("l_returnflag = 'R'")), total("critical_count")), "weekly_inspections": (n(table(spark, d, "orders")), total("complaint_count")),
         "area_totals": (n(last), last.join(r, "restaurant_key").groupBy("grade").agg(one.alias("m")).agg(F.coalesce(F.sum("m"), F.lit(0)).alias("n"))),
+        "areas": (n(table(spark, d, "region")), n(dim_area(spark, d))), "complaint_types": (n(table(spark, d, "events").select(F.upper("event_type")).distinct()), n(dim_complaint_type(spark, d))),
+        "finding_codes": (n(table(spark, d, "lineitem").select(F.concat("l_returnflag", "l_linestatus")).distinct()), n(dim_finding(spark, d))), "event_rollups": (n(table(spark, d, "orders")), n(event_rollup(spark, d))),
+        "dates": (span.agg(F.coalesce(F.datediff(F.max("day"), F.min("day")) + 1, F.lit(0)).cast("long").alias("n")), n(dim_date(spark, d))),
+        "chains": (n(flags.select("family_name").distinct()), n(chain_summary(spark, d))), "chain_locations": (n(flags), chain_summary(spark, d).agg(F.coalesce(F.sum("locations"), F.lit(0)).alias("n"))),
+        "area_grades": (areas(spark, d).agg(((one + 1) * 3).alias("n")), n(area_grade_summary(spark, d))),
     })
 
 
