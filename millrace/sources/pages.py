@@ -17,9 +17,13 @@ def text_schema(names: Sequence[str]) -> StructType:
 
 def read_pages(spark: SparkSession, paths: str | list[str], schema: StructType) -> DataFrame:
     """Files of JSON arrays by an explicit schema, with source_file and run_id, which is taken from the path. Only page files are read, no manifests beside them."""
-    raw = spark.read.schema(schema).option("multiLine", "true").option("pathGlobFilter", "page_offset=*.json").option("recursiveFileLookup", "true").json(paths)
-    named = raw.withColumn("source_file", F.col("_metadata.file_path"))
-    return named.withColumn("run_id", F.regexp_extract("source_file", "run_id=([^/]+)", 1))
+    return with_origin(spark.read.schema(schema).option("multiLine", "true").option("pathGlobFilter", "page_offset=*.json").option("recursiveFileLookup", "true").json(paths))
+
+
+def with_origin(df: DataFrame) -> DataFrame:
+    """df, read from files, with source_file and run_id where it lacks them: the file of a row, and the run that its path names ('' for none). What is there stays."""
+    named = df if "source_file" in df.columns else df.withColumn("source_file", F.col("_metadata.file_path"))
+    return named if "run_id" in df.columns else named.withColumn("run_id", F.regexp_extract("source_file", "run_id=([^/]+)", 1))
 
 
 def read_list(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:

@@ -19,6 +19,14 @@ def test_json_pages(spark, tmp_path):
     assert [(r.camis, r.dba, r.run_id) for r in got] == [("1", "A", "scheduled__1"), ("2", None, "scheduled__1")] and got[0].source_file.endswith("page_offset=0.json")
 
 
+def test_origins_are_added_where_they_lack(spark, tmp_path):
+    spark.range(2).write.parquet(f"{tmp_path}/run_id=manual__7/a")
+    spark.range(2).selectExpr("id", "'kept' AS source_file", "'r' AS run_id").write.parquet(f"{tmp_path}/b")
+    new = pages.with_origin(spark.read.parquet(f"{tmp_path}/run_id=manual__7/a")).collect()
+    assert {r.run_id for r in new} == {"manual__7"} and all(r.source_file.endswith(".parquet") for r in new)
+    assert {(r.source_file, r.run_id) for r in pages.with_origin(spark.read.parquet(f"{tmp_path}/b")).collect()} == {("kept", "r")}
+
+
 def test_lists(spark, tmp_path):
     (tmp_path / "a.csv").write_text("zip,name\n00501,x\n")
     assert pages.read_list(spark, str(tmp_path / "a.csv"), ["zip"]).first()[0] == "00501"
