@@ -87,7 +87,3 @@ def name_profile(names: DataFrame, name: str = "name") -> DataFrame:
 
     grouped = names.select(name, name_syntax(F.col(name)).alias("normal")).groupBy("normal").agg(F.array_sort(F.collect_set(name)).alias("spellings"))
     return grouped.withColumn("n", F.size("spellings")).where("n > 1")
-
-
-def location_rank(df: DataFrame, key: str, order) -> DataFrame:
-    return df.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(*order)))

@@ -52,12 +52,3 @@ def counted(pairs: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
         both = expected.select(F.col("n").alias("expected")).crossJoin(actual.select(F.col("n").alias("actual")))
         rows.append(both.select(F.lit(name).alias("check_name"), "expected", "actual", F.col("expected").eqNullSafe(F.col("actual")).alias("passed")))
     return reduce(DataFrame.unionByName, rows)
-
-
-def reconciled(pairs: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
-    """check_name, expected, actual, passed: row counts of pairs of layers."""
-    rows = []
-    for name, (expected, actual) in pairs.items():
-        both = expected.agg(F.count(F.lit(1)).alias("expected")).crossJoin(actual.agg(F.count(F.lit(1)).alias("actual")))
-        rows.append(both.select(F.lit(name).alias("check_name"), "expected", "actual", (F.col("expected") == F.col("actual")).alias("passed")))
-    return reduce(DataFrame.unionByName, rows)
