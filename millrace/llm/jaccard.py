@@ -200,10 +200,16 @@ def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
 
 
 def _linked(pairs: DataFrame, about: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of pairs (a, b), those whose sets are similar: first by size and parity bits, then on the sets."""
+    """Of pairs (a, b), those whose sets are similar: first by size and parity bits, then on the sets.
+
+    Pairs that pass the bits are written, so the joins with the sets are planned by their true size: where a round leaves
+    few, their ends are broadcast and only the sets of these ends are shuffled.
+    """
     left, right = (about.select(F.col("node").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ABOUT)) for x in "ab")
     near = pairs.distinct().join(left, "a").join(right, "b").where(_may("a", "b", percent)).select("a", "b", "n_a", "n_b")
-    full = near.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("s_a")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("s_b")), "b")
+    near = stored(near, scratch(pairs.sparkSession, "near"))
+    s_a, s_b = (sets.join(near.select(F.col(x).alias("node")), "node", "left_semi").select(F.col("node").alias(x), F.col("shingles").alias(f"s_{x}")) for x in "ab")
+    full = near.join(s_a, "a").join(s_b, "b")
     common = F.size(F.array_intersect("s_a", "s_b"))
     return full.where(100 * common >= percent * (F.col("n_a") + F.col("n_b") - common)).select("a", "b").distinct()
 
