@@ -30,6 +30,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -177,6 +178,33 @@ def sets_of(docs: DataFrame, size: int) -> DataFrame:
     return docs.select("node", "text").mapInArrow(run, "node long, shingles array<long>")
 
 
+#: Bits of the filter that keeps texts from a shuffle which they would leave again: 8 MB, whatever the number of ids.
+FILTER_BITS = 1 << 26
+
+
+def _places(doc_id: str) -> list[Column]:
+    return [F.pmod(F.xxhash64(F.col(doc_id), F.lit(i)), F.lit(FILTER_BITS)) for i in range(2)]
+
+
+def perhaps_among(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of docs (doc_id, ...) whose doc_id is in ids (of), and some others: a Bloom filter ahead of the join that decides.
+
+    The filter has FILTER_BITS bits and two hashes of an id. It is all that passes through the driver, 16 MB at most;
+    with more ids than it has room for, more rows pass and the join has more to do, with the same result.
+    """
+    placed = ids.select(F.explode(F.array(*_places("of"))).alias("place"))
+    words = placed.groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(place & 63 AS INT))")).alias("bits")).toArrow()
+    bits = np.zeros(FILTER_BITS // 64, np.int64)
+    bits[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    sent = docs.sparkSession.sparkContext.broadcast(bits)
+
+    def run(x: pd.Series, y: pd.Series) -> pd.Series:
+        held = [sent.value[p.to_numpy() >> 6] >> (p.to_numpy() & 63) & 1 for p in (x, y)]
+        return pd.Series((held[0] & held[1]).astype(bool))
+
+    return docs.where(F.pandas_udf(run, "boolean")(*_places("doc_id")))
+
+
 def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """links: a, b. Returns node, label: the least node that is reachable, for each node with a link (or known before).
 
@@ -298,7 +326,7 @@ def similar_groups(docs: DataFrame, size: int = 4, percent: int = 85, rounds: in
     nodes = stored(nodes.select("node", F.col("first.doc_id").alias("of"), *ABOUT), scratch(spark, "nodes"))
     often = every.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select(F.col("doc_id").alias("often"))
     wanted = stored(nodes.select("node", "of").join(often, F.col("of").eqNullSafe(F.col("often")), "left").select("node", "of", (F.col("often").isNotNull() | F.col("of").isNull()).alias("again")), scratch(spark, "wanted"))
-    texts = slim.join(wanted, F.col("doc_id").eqNullSafe(F.col("of")))
+    texts = perhaps_among(slim, wanted).join(wanted, F.col("doc_id").eqNullSafe(F.col("of")))
     sets = sets_of(texts.where("NOT again"), size)
     if wanted.where("again").limit(1).count():  # several rows have the doc_id, and may have the same set
         sets = sets.unionByName(sets_of(texts.where("again"), size).groupBy("node").agg(F.first("shingles").alias("shingles")))

@@ -1,6 +1,8 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from millrace.llm import jaccard
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -130,3 +132,12 @@ def test_many_rows_of_one_id_and_a_block_without_links(make, prose):
     many = [(i, " ".join(a.split()[:40] + [f"w{rng.randrange(10**6)}" for _ in range(10)])) for i in range(150)]
     got = jaccard.similar_groups(make(many)).select("doc_id", "n_shingles", "component_id").collect()
     assert order(map(tuple, got)) == order(brute(many))
+
+
+def test_the_filter_ahead_of_the_join_passes_every_id_and_few_others(spark):
+    docs = spark.range(-50_000, 50_000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text")).unionByName(spark.createDataFrame([(None, "n")], "doc_id long, text string"))
+    ids = docs.where("doc_id % 100 = 0 OR doc_id IS NULL").select(F.col("doc_id").alias("of"))
+    passed = jaccard.perhaps_among(docs, ids)
+    assert passed.join(ids, F.col("doc_id").eqNullSafe(F.col("of"))).count() == ids.count() == 1001
+    assert passed.count() < 1100 and passed.columns == docs.columns
+    assert jaccard.perhaps_among(docs, ids.limit(0)).count() == 0
