@@ -84,6 +84,21 @@ def test_nearest(spark):
     assert out["over"].r is None and out["over"].distance > 100
 
 
+def test_nearest_among_crowded_places_is_that_of_all_pairs(spark):
+    """A crowd in one cell, lone places around it, copies of a spot: a point meets a few places of the crowd, and the answers are those of all pairs."""
+    crowd = [(i, 40.7 + (i * 7919 % 997) * 2e-6, -73.99 + (i * 104729 % 991) * 2e-6) for i in range(1500)]
+    places = crowd + [(5000 + i, *crowd[i][1:]) for i in range(50)] + [(6000 + i, 40.70251 + i * 0.0017, -73.9951 + i * 0.0011) for i in range(6)]
+    points = [(i, 40.699 + (i * 31 % 613) * 1.1e-5, -73.996 + (i * 57 % 599) * 1.6e-5) for i in range(300)]
+    places, points = spark.createDataFrame(places, "r long, lat double, lon double"), spark.createDataFrame(points, "p long, lat double, lon double")
+    assert nearest._halvings(places.select(F.col("lat").alias("__lat2"), F.col("lon").alias("__lon2")), nearest.CELL) >= 3
+    cell = lambda c: F.floor(F.col(c) / nearest.CELL)
+    pairs = points.crossJoin(places.select("r", F.col("lat").alias("b"), F.col("lon").alias("l"))).where((F.abs(cell("lat") - cell("b")) <= 1) & (F.abs(cell("lon") - cell("l")) <= 1))
+    metres = numbers.haversine(F.col("lat"), F.col("lon"), F.col("b"), F.col("l"))
+    wanted = {x.p: (x.m.d, x.m.r) for x in pairs.groupBy("p").agg(F.min(F.struct(metres.alias("d"), "r")).alias("m")).collect()}
+    for limit in (200_000, 0):
+        assert {x.p: (x.distance, x.r) for x in nearest.nearest(points, places, "p", "r", broadcast_rows=limit).collect()} == wanted
+
+
 def test_lookback_is_half_open_and_survives_hot_keys(spark):
     left = spark.createDataFrame([(1, "k", datetime(2024, 1, 10)), (2, "k", datetime(2024, 1, 1)), (3, None, datetime(2024, 1, 10))], "i int, k string, at timestamp")
     right = spark.createDataFrame([("k", datetime(2024, 1, d)) for d in (8, 9, 10)] + [("k", datetime(2024, 1, 7, 23, 59))], "k string, seen timestamp")
