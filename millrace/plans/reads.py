@@ -212,9 +212,9 @@ def entity_search_page(spark: SparkSession, d: str) -> DataFrame:
 @query("inspections findings", """k1 AS (SELECT restaurant_key, code, found, inspection_id, line, row_number() OVER (PARTITION BY restaurant_key, code ORDER BY found DESC, inspection_id DESC, line) AS a FROM findings JOIN inspections USING (inspection_id)),
 k2 AS (SELECT *, row_number() OVER (PARTITION BY restaurant_key ORDER BY found DESC, inspection_id DESC, line) AS place FROM k1 WHERE a = 1) SELECT restaurant_key, code, found, inspection_id, line, CAST(place AS INTEGER) AS place FROM k2 WHERE place <= 6""")
 def recent_findings_top6(spark: SparkSession, d: str) -> DataFrame:
-    """The six latest different findings of each restaurant."""
+    """The six latest different findings of each restaurant. Codes of one line found on one day, which the SQL leaves open, are ordered by themselves."""
     rows = findings(spark, d).join(inspections(spark, d).select("inspection_id", "restaurant_key"), "inspection_id").select("restaurant_key", "code", "found", "inspection_id", "line")
-    order = [F.desc("found"), F.desc("inspection_id"), F.asc("line")]
+    order = [F.desc("found"), F.desc("inspection_id"), F.asc("line"), F.asc("code")]
     return top_per_key(top_per_key(rows, ["restaurant_key", "code"], order), ["restaurant_key"], order, 6, rank="place")
 
 

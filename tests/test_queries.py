@@ -65,3 +65,11 @@ def empty(spark, tmp_path_factory):
     for p in glob.glob(f"{DATA}/*.parquet"):
         spark.read.parquet(p).limit(0).write.parquet(f"{d}/{os.path.basename(p)}")
     return d
+
+
+@pytest.mark.parametrize("codes", [("A", "R"), ("R", "A")])
+def test_codes_of_one_line_and_day_have_an_order(spark, tmp_path, codes):
+    day = datetime.datetime(2000, 1, 2)
+    spark.createDataFrame([(1, 7, day, 1.0, "F", "x")], "o_orderkey long, o_custkey long, o_orderdate timestamp, o_totalprice double, o_orderstatus string, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(1, 1, c, "F", day, 1.0) for c in codes], "l_orderkey long, l_linenumber int, l_returnflag string, l_linestatus string, l_shipdate timestamp, l_quantity double").coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert {r["code"]: r["place"] for r in roles.QUERIES["recent_findings_top6"](spark, str(tmp_path)).collect()} == {"AF": 1, "RF": 2}
