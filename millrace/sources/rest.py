@@ -3,10 +3,11 @@
     spark.dataSource.register(RestPages)
     spark.readStream.format("rest_pages").options(**request.options(folder)).load()
 
-A page is a partition: the task that reads it asks for it with $limit, $offset, $order and $where, checks it against the
-contract, and saves it once below a shared folder before its rows go on. Offsets of the stream are numbers of pages, a
-batch takes `ahead` of them at a time, and a page that isn't full is the last. What a folder holds was asked by one
-request, which stands beside the pages and never changes. Whoever reads the folder again, a restarted stream, a retried
+A partition is a run of pages: the task that reads it asks for one after the other with $limit, $offset, $order and
+$where, checks them against the contract, and saves each once below a shared folder before its rows go on. Offsets of the
+stream are numbers of pages, a batch takes `ahead` runs side by side, and a page that isn't full is the last. Runs are of
+one page at first and grow with the pages before them, so there are few batches, and few lists of the folder, however many
+pages there are. What a folder holds was asked by one request, which stands beside the pages and never changes. Whoever reads the folder again, a restarted stream, a retried
 task or a run of another day, takes saved pages from it and asks for the others alone.
 """
 
@@ -16,6 +17,7 @@ import json
 import urllib.parse
 import urllib.request
 import uuid
+from collections.abc import Iterator
 from dataclasses import asdict, dataclass
 from typing import Any
 
@@ -139,25 +141,45 @@ class Landing:
                 found[int(offset) // self.request.limit] = f.path, int(rows)
         return found
 
-    def last(self) -> int | None:
+    def last(self, saved: dict[int, tuple[str, int]]) -> int | None:
         """The first page that isn't full, if it was met."""
-        short = [page for page, (_, rows) in self.saved().items() if rows < self.request.limit]
-        return min(short, default=None)
+        return min((page for page, (_, rows) in saved.items() if rows < self.request.limit), default=None)
 
-    def records(self, page: int) -> list[dict]:
-        """A page's records, from the folder, or asked, checked and saved there. Nothing is asked beyond the last page."""
-        system, folder = _opened(self.folder)
+    def run(self, pages: range) -> Iterator[tuple[int, list[dict]]]:
+        """Pages with their records, until one isn't full. The folder is listed once; nothing is asked beyond the last page."""
         saved = self.saved()
+        last = self.last(saved)
+        for page in pages:
+            records = self.records(page, saved, last)
+            yield page, records
+            if len(records) < self.request.limit:
+                return
+
+    def records(self, page: int, saved: dict[int, tuple[str, int]], last: int | None) -> list[dict]:
+        """A page's records, from the folder, or asked, checked and saved there."""
+        system, folder = _opened(self.folder)
         if page in saved:
             with system.open_input_file(saved[page][0]) as f:
                 return json.loads(f.read())
-        if any(p < page and rows < self.request.limit for p, (_, rows) in saved.items()):
+        if last is not None and last < page:
             return []
         records = checked(fetched(self.request, page), self.request.required, self.request.limit)
         put_once(system, f"{folder}/page_offset={page * self.request.limit:012d}-rows={len(records)}.json", json.dumps(records, separators=(",", ":")).encode())
         return records
 
 
+#: A batch takes one page for every GROWTH pages before it, and `ahead` at least.
+GROWTH = 4
+
+
+def batch_end(ahead: int, page: int) -> int:
+    """The end of the batch that holds a page. It follows from `ahead` alone, so a stream that starts again meets the same ends."""
+    end = 0
+    while end <= page:
+        end += ahead * max(1, end // (GROWTH * ahead))
+    return end
+
+
 class RestPages(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -178,24 +200,27 @@ class _Reader(DataSourceStreamReader):
         return {"page": 0}
 
     def latestOffset(self) -> dict:
-        """Up to where pages are to be read: batches of `ahead` pages, until one of them holds the last page."""
+        """Up to where pages are to be read: batch after batch, until one of them holds the last page."""
         self.landing.agreed()
         ahead, saved = self.landing.request.ahead, self.landing.saved()
-        last = self.landing.last()
+        last = self.landing.last(saved)
         if last is not None:
-            return {"page": (last // ahead + 1) * ahead}
+            return {"page": batch_end(ahead, last)}
         full = 0
         while full in saved:
             full += 1
-        return {"page": (full // ahead + 1) * ahead}
+        return {"page": batch_end(ahead, full)}
 
     def partitions(self, start: dict, end: dict):
-        return [InputPartition(p) for p in range(start["page"], end["page"])]
+        first, beyond = start["page"], end["page"]
+        length = max(1, -(-(beyond - first) // self.landing.request.ahead))
+        return [InputPartition((p, min(p + length, beyond))) for p in range(first, beyond, length)]
 
     def read(self, partition):
         names = self.landing.request.columns
-        for r in self.landing.records(partition.value):
-            yield (*(r.get(n) if r.get(n) is None or isinstance(r.get(n), str) else json.dumps(r[n]) for n in names), str(partition.value))
+        for page, records in self.landing.run(range(*partition.value)):
+            for r in records:
+                yield (*(r.get(n) if r.get(n) is None or isinstance(r.get(n), str) else json.dumps(r[n]) for n in names), str(page))
 
     def commit(self, end: dict) -> None:
         pass

@@ -80,6 +80,23 @@ def test_pages_ahead_and_full_last_pages(spark, server, tmp_path, n, ahead):
     assert len(server.asked) == len(set(server.asked)) <= (n // 10 // ahead + 1) * ahead
 
 
+def test_batches_and_lists_grow_less_than_pages(spark, server, tmp_path, monkeypatch):
+    server.records[:] = [{"id": str(i), "at": "x", "more": None} for i in range(605)]
+    rows = rest.stream_pages(spark, asked(server, ahead=2), f"{tmp_path}/p", f"{tmp_path}/o").collect()
+    assert sorted(int(r["id"]) for r in rows) == list(range(605)) and {int(r["page"]) for r in rows} == set(range(61))
+    assert len(server.asked) == len(set(server.asked)) <= 62
+    assert len([f for f in (tmp_path / "o" / "checkpoint" / "commits").iterdir() if f.name.isdigit()]) <= 16  # 31 batches of two pages
+    ends, page = [], 0
+    while page < 72_000:
+        page = rest.batch_end(8, page)
+        ends.append(page)
+    assert len(ends) < 60 and ends[:4] == [8, 16, 24, 32]
+    landing, listed = rest.Landing(f"{tmp_path}/p", asked(server, ahead=2)), []
+    saved = landing.saved
+    monkeypatch.setattr(landing, "saved", lambda: listed.append(1) or saved())
+    assert sum(len(records) for _, records in landing.run(range(0, 100))) == 605 and len(listed) == 1
+
+
 def test_another_request_is_refused(spark, server, tmp_path):
     rest.stream_pages(spark, asked(server), f"{tmp_path}/p", f"{tmp_path}/o")
     for more in ({"limit": 20}, {"order": "id"}, {"columns": ("id",)}, {"at": "at", "start": "2026-01-01", "end": "2026-02-01"}):
