@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -54,17 +54,41 @@ def _fold_tables() -> tuple[str, str, list[tuple[str, str]]]:
     return "".join(one), "".join(to), many
 
 
-def ascii_folded(col: Column) -> Column:
-    """Compatibility decomposition to ASCII: accents go, ligatures and full-width forms become their letters, other characters vanish.
+#: Anything beyond ASCII; the test of a text that mostly has none of it.
+BEYOND_ASCII = r"[^\x00-\x7F]"
 
-    Characters with one ASCII letter are translated at once; the few that become several are looked up one by one, and only in texts that have any."""
+
+#: Texts with more different characters beyond ASCII are translated as a whole.
+FEW_LETTERS = 32
+
+
+def ascii_folded(col: Column, without: str | None = None) -> Column:
+    """Compatibility decomposition to ASCII: accents go, ligatures and full-width forms become their letters, other characters
+    vanish, and so do those that match `without`.
+
+    Texts in ASCII stay as they are after one search. A text with a few letters beyond it has each of these folded and then
+    replaced. In others characters with one ASCII letter are translated at once, and the few that become several are looked up
+    one by one, only in texts that have any."""
     one, to, many = _fold_tables()
-    singles = F.translate(col, one, to)
     several = "".join(c for c, _ in many)
-    wide = singles
-    for c, plain in many:
-        wide = F.replace(wide, F.lit(c), F.lit(plain))
-    return F.regexp_replace(F.when(singles.rlike(f"[{several}]"), wide).otherwise(singles), r"[^\x00-\x7F]", "")
+
+    def rest(singles: Column) -> Column:
+        wide = singles
+        for c, plain in many:
+            wide = F.replace(wide, F.lit(c), F.lit(plain))
+        folded = F.regexp_replace(F.when(singles.rlike(f"(?={BEYOND_ASCII})[{several}]"), wide).otherwise(singles), BEYOND_ASCII, "")
+        return F.when(singles.rlike(BEYOND_ASCII), folded).otherwise(singles)
+
+    whole = lambda text: once(F.translate(F.regexp_replace(text, without, "") if without else text, one, to), rest)
+    by_letter = lambda text, letters: F.aggregate(letters, text, lambda t, c: F.replace(t, c, whole(c)))
+    letters = lambda text: F.array_distinct(F.regexp_extract_all(text, F.lit(f"({BEYOND_ASCII})"), F.lit(1)))
+    folded = lambda text: once(letters(text), lambda found: F.when(F.size(found) <= FEW_LETTERS, by_letter(text, found)).otherwise(whole(text)))
+    return once(col, lambda text: F.when(text.rlike(BEYOND_ASCII), folded(text)).otherwise(text))
+
+
+def once(col: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a column that is made once, however often f names it."""
+    return F.element_at(F.transform(F.array(col), f), 1)
 
 
 def name_syntax(col: Column, fold: bool = True) -> Column:

@@ -229,5 +229,5 @@ def reconciliation(spark: SparkSession, d: str) -> DataFrame:
 
 @query("", r"SELECT doc_id, strip_accents(regexp_replace(text, '[^\x00-\x7FÀ-ÅÇ-ÏÑ-ÖÙ-Ýà-åç-ïñ-öù-ýÿ]', '', 'g')) AS folded FROM documents")
 def accent_fold(spark: SparkSession, d: str) -> DataFrame:
-    plain = F.regexp_replace("text", r"[^\x00-\x7FÀ-ÅÇ-ÏÑ-ÖÙ-Ýà-åç-ïñ-öù-ýÿ]", "")
-    return table(spark, d, "documents").select("doc_id", ascii_folded(plain).alias("folded"))
+    """Texts without accents. What is neither ASCII nor a letter with an accent goes."""
+    return table(spark, d, "documents").select("doc_id", ascii_folded(F.col("text"), r"[^\x00-\x7FÀ-ÅÇ-ÏÑ-ÖÙ-Ýà-åç-ïñ-öù-ýÿ]").alias("folded"))

@@ -30,6 +30,16 @@ def test_fold_is_that_of_unicode(spark):
         assert folded == unicodedata.normalize("NFKD", w).encode("ascii", "ignore").decode()
 
 
+def test_fold_of_texts_with_few_and_many_letters(spark):
+    words = [None, "", "plain", "é", "ﬁ½é中", "😀a", "x" * 1000 + "ﬄ"]
+    df = spark.createDataFrame([(w,) for w in words], "w string").select("w", text.ascii_folded(F.col("w")).alias("f"))
+    assert [r["f"] for r in df.collect()] == [None if w is None else unicodedata.normalize("NFKD", w).encode("ascii", "ignore").decode() for w in words]
+    many = "".join(map(chr, range(0xC0, 0x180))) + "ﬁ½" + "a" * 50  # more letters than are replaced one by one
+    assert spark.createDataFrame([(many,)], "w string").select(text.ascii_folded(F.col("w"))).first()[0] == unicodedata.normalize("NFKD", many).encode("ascii", "ignore").decode()
+    assert spark.createDataFrame([("aéøb",)], "w string").select(text.ascii_folded(F.col("w"), "[éø]")).first()[0] == "ab"
+    assert "regexp_extract_all" in df._jdf.queryExecution().optimizedPlan().toString()  # letters beyond ASCII alone are folded
+
+
 def inspections(spark):
     data = [
         ("12345678", "x", "Manhattan", "10", "Main  Street", "10001", "2026-08-20T00:00:00.000", None, None, "12", "40.7500", "-73.9900"),
