@@ -144,6 +144,11 @@ def kept(df: DataFrame) -> Iterator[DataFrame]:
         held.unpersist()
 
 
+def slim(rows: DataFrame) -> DataFrame:
+    """What a model learns from: the day of the outcome, the outcome, and the features."""
+    return rows.select("next_inspected", "target", "features")
+
+
 def logit(p: Column) -> Column:
     bounded = F.least(F.greatest(p, F.lit(1e-6)), F.lit(1 - 1e-6))
     return F.ln(bounded / (1 - bounded))
@@ -183,10 +188,11 @@ def fitted_logistic(rows: DataFrame, penalty: float, balanced: bool):
 
 
 def fold_parts(rows: DataFrame, date: str, splits: int) -> Iterator[tuple[DataFrame, DataFrame]]:
-    """Rows to learn from and rows to score of each expanding fold by date that has both classes to learn from. They are held until the next fold."""
+    """Rows to learn from and rows to score of each expanding fold by date that has both classes to learn from. They are held until the next fold.
+    Days are broadcast, a row each, so that the rows stay where they are."""
     folds = metrics.date_folds(rows, date, splits)
     for k in range(1, splits + 1):
-        part = lambda name, k=k: rows.join(folds.where((F.col("fold") == k) & (F.col("part") == name)).select(date), date, "left_semi")
+        part = lambda name, k=k: rows.join(F.broadcast(folds.where((F.col("fold") == k) & (F.col("part") == name)).select(date)), date, "left_semi")
         with kept(part("train")) as train, kept(part("test")) as test:
             if train.select("target").distinct().limit(2).count() == 2:
                 yield train, test
@@ -228,7 +234,7 @@ def logistic_scores(spark: SparkSession, d: str) -> DataFrame:
     """Calibrated risk of rows after the cutoff, their tier, and the three features that add most to it. The curve is fitted on
     out-of-fold scores."""
     train, test = _assembled(spark, d)
-    with kept(train) as train:
+    with kept(slim(train)) as train:
         scored = out_of_fold(train, "next_inspected", lambda part: fitted_logistic(part, 0.01, False)).select("target", "p")
         risk = calibrated(vector_to_array(F.col("probability"))[1], scored)
         model = fitted_logistic(train, 0.01, False)
@@ -248,7 +254,7 @@ def refreshed_scores(spark: SparkSession, d: str) -> DataFrame:
     mature = rows.where(F.col("next_inspected") <= F.lit("2001-05-31").cast("date"))
     now = top_per_key(history_frame(daily(spark, d)), ["restaurant_key"], [F.desc("inspected")])
     assembled = lambda df: VectorAssembler(inputCols=guarded([f"z_{c}" for c in NUMBERS]), outputCol="features").transform(imputed_scaled(mature, df, NUMBERS))
-    with kept(assembled(mature)) as train:
+    with kept(slim(assembled(mature))) as train:
         scored = out_of_fold(train, "next_inspected", lambda part: fitted_logistic(part, 0.01, False)).select("target", "p")
         risk = calibrated(vector_to_array(F.col("probability"))[1], scored)
         model = fitted_logistic(train, 0.01, False)
@@ -310,7 +316,7 @@ def explained(model, rows: DataFrame, names: tuple[str, ...] = NUMBERS) -> DataF
 def tree_factors(spark: SparkSession, d: str) -> DataFrame:
     """Risk by boosted trees of rows after the cutoff, calibrated on out-of-fold scores, with the three features that raise it most."""
     train, test = _assembled(spark, d)
-    with kept(train) as train:
+    with kept(slim(train)) as train:
         scored = out_of_fold(train, "next_inspected", fitted_trees).select("target", "p")
         risk = calibrated(F.col("p"), scored)
         model = fitted_trees(train)
@@ -347,7 +353,7 @@ def best_of(train: DataFrame, date: str, grid, fit, splits: int = FOLDS):
 def logistic_grid(spark: SparkSession, d: str) -> DataFrame:
     """Measures of every penalty and weighting that the logistic model is chosen from, on the later half of the days before the cutoff."""
     train, _ = _assembled(spark, d)
-    with kept(train) as train:
+    with kept(slim(train)) as train:
         found = grid_rows(train, "next_inspected", GRID, lambda part, e: fitted_logistic(part, *e), 1)
     return spark.createDataFrame([(*e, *m) for e, m in zip(GRID, found, strict=True)], f"penalty double, balanced boolean, {MEASURES}")
 
@@ -356,7 +362,7 @@ def logistic_grid(spark: SparkSession, d: str) -> DataFrame:
 def tree_grid(spark: SparkSession, d: str) -> DataFrame:
     """Measures of every depth, number of rounds and pace that the trees are chosen from, on the later half of the days before the cutoff."""
     train, _ = _assembled(spark, d)
-    with kept(train) as train:
+    with kept(slim(train)) as train:
         found = grid_rows(train, "next_inspected", TREE_GRID, lambda part, e: fitted_trees(part, *e), 1)
     return spark.createDataFrame([(*e, *m) for e, m in zip(TREE_GRID, found, strict=True)], f"depth int, rounds int, pace double, {MEASURES}")
 

@@ -283,3 +283,20 @@ def test_folds_calibration_and_promotion(spark, tmp_path):
     assert learning.verified_scores(spark.read.parquet(good).limit(0))["empty"] == 1
     assert not learning.promoted(spark, bad, pointer, "PASS") and not learning.promoted(spark, good, pointer, "FAIL") and learning.promoted_path(spark, pointer) is None
     assert learning.promoted(spark, good, pointer, "WARN") and learning.promoted(spark, good, pointer, "PASS") and learning.promoted_path(spark, pointer) == (1, good)
+
+
+def test_folds_of_rows_are_not_shuffled(spark):
+    """The days of a fold go to the rows, however many rows there are, and only what a model learns from is held."""
+    data = [(datetime(2000, 1, 1 + i % 20).date(), i % 2, i) for i in range(80)]
+    rows_ = spark.createDataFrame(data, "day date, target int, i int")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for train, test in learning.fold_parts(rows_, "day", 3):
+            assert train.count() and test.count() and not {r["day"] for r in train.collect()} & {r["day"] for r in test.collect()}
+            for part in (train, test):
+                assert "SortMergeJoin" not in part._jdf.queryExecution().withCachedData().toString() + part._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    vectors, _ = learning._assembled(spark, "/root/testdata/sf0.001")
+    assert learning.slim(vectors).columns == ["next_inspected", "target", "features"]
