@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import LOWER, fold, rows, small_batches
+from millrace.llm.common import LOWER, fold, release, rows, small_batches
 
 #: Letters of words; everything else separates them.
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -223,12 +223,23 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = 2500, order: int = 4, mo
     score = part.scorer()
     part.fitted((score(t) for t, _ in held), (x for _, x in held), rate)
     slopes, middle = part.slopes, part.middle
-    del part, score
+    del part, score, held, rest
+    release()
     whole = Judge.counted((t for _, x, t in sample if x), (t for _, x, t in sample if not x), order)
     whole.slopes, whole.middle = slopes, middle
+    del sample
+    release()
     return whole
 
 
+def scored(judge: Judge, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[float]]]:
+    """Slices of batches with the score of each text. What the worker holds of an earlier stage goes first: its tokenizer and the model don't fit beside each other."""
+    release()
+    score = judge.scorer()
+    for b in small_batches(batches, "text", 4 << 20):
+        yield b, [judge.chance(score(t)) for (t,) in rows(b, "text")]
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **options) -> DataFrame:
     """A row per document: doc_id, held_out, score (0 to 1), predicted. Null and empty texts score as a text of no evidence.
     Repeated rows are scored each; a null doc_id isn't held out. An empty table gives none."""
@@ -236,10 +247,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **optio
     model = spark.sparkContext.broadcast(fit(docs, labels, **options))  # bounded by the sample
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = model.value
-        score = m.scorer()
-        for b in small_batches(batches, "text", 4 << 20):
-            s = [m.chance(score(t)) for (t,) in rows(b, "text")]
+        for b, s in scored(model.value, batches):
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array(s, pa.float64()), pa.array([int(x >= threshold) for x in s], pa.int32())], ["doc_id", "held_out", "score", "predicted"])
 
     modulus, without = options.get("modulus", 4), options.get("without", 2)
@@ -253,9 +261,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **opt
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, **options))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = model.value
-        score = m.scorer()
-        for b in small_batches(batches, "text", 4 << 20):
-            yield b.filter(pa.array([m.chance(score(t)) < threshold for (t,) in rows(b, "text")], pa.bool_()))
+        for b, s in scored(model.value, batches):
+            yield b.filter(pa.array([x < threshold for x in s], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -1,6 +1,10 @@
 import random
 
+import public_tokenizers
+import pyarrow as pa
+
 from millrace.llm import toxicity
+from millrace.llm.common import token_ids
 
 
 def labelled(n=400, seed=1):
@@ -110,3 +114,14 @@ def test_ratios_against_the_definition():
         for sequence in toxic:
             want = sum(m.ratio[g] for g in toxicity.grams(sequence, order))
             assert math.isclose(m.of(sequence)[0], want)
+
+
+def test_a_tokenizer_of_an_earlier_stage_is_let_go(spark, make):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rows, marks = labelled(60)
+    token_ids(path)
+    judge = toxicity.fit(make(rows), spark.createDataFrame(marks, "doc_id long, toxic int"))
+    assert token_ids.cache_info().currsize == 0
+    token_ids(path)
+    got = list(toxicity.scored(judge, iter([pa.RecordBatch.from_pydict({"text": [t for _, t in rows] + [None]})])))
+    assert token_ids.cache_info().currsize == 0 and sum(len(s) for _, s in got) == len(rows) + 1
