@@ -2,7 +2,8 @@
 
 Walking a tree from its root, every step changes the expected score from that of a node to that of its child; the step
 is put down to the feature on which the node splits. Over all trees these steps and the roots' scores add up to the raw
-prediction. The nodes of all trees stand in arrays of literals, which are as large as the model and no larger."""
+prediction. A row's leaf in a tree tells all its steps there, so a row is led to its leaves once, by comparisons that
+Spark compiles, and what each feature adds is looked up by leaf."""
 
 from __future__ import annotations
 
@@ -52,31 +53,39 @@ def bias(nodes: Nodes) -> float:
     return sum(nodes.score[r] for r in nodes.roots)
 
 
-def steps(nodes: Nodes, values: Column) -> Column:
-    """array<struct<feature, delta>>: the steps of a row through all trees; values is an array of its features."""
-    at = lambda table, i: F.element_at(F.lit(table), i + 1)
-    none = F.array().cast("array<struct<feature:int,delta:double>>")
+def paths(nodes: Nodes, root: int) -> list[list[tuple[int, float]]]:
+    """Of each leaf of a tree, from left to right: the steps on the way to it, as feature and delta."""
+    if nodes.left[root] < 0:
+        return [[]]
+    return [[(nodes.feature[root], nodes.score[to] - nodes.score[root]), *rest] for to in (nodes.left[root], nodes.right[root]) for rest in paths(nodes, to)]
 
-    def walk(root: Column) -> Column:
-        def step(acc: Column, _: Column) -> Column:
-            node = acc["node"]
-            inner = at(nodes.left, node) >= 0
-            goes = F.element_at(values, at(nodes.feature, node) + 1) <= at(nodes.threshold, node)
-            to = F.when(goes, at(nodes.left, node)).otherwise(at(nodes.right, node))
-            made = F.array(F.struct(at(nodes.feature, node).alias("feature"), (at(nodes.score, to) - at(nodes.score, node)).alias("delta")))
-            return F.struct(F.when(inner, to).otherwise(node).alias("node"), F.when(inner, F.concat(acc["steps"], made)).otherwise(acc["steps"]).alias("steps"))
 
-        start = F.struct(root.alias("node"), none.alias("steps"))
-        return F.aggregate(F.sequence(F.lit(1), F.lit(max(1, nodes.depth))), start, step)["steps"]
+def leaf(nodes: Nodes, values: Column, root: int, first: int = 1) -> Column:
+    """The leaf of a tree that a row falls in, counted from `first` on; values is an array of its features."""
 
-    return F.flatten(F.transform(F.lit(nodes.roots), walk))
+    def walk(node: int, at: int) -> tuple[Column, int]:
+        if nodes.left[node] < 0:
+            return F.lit(at), at + 1
+        left, at = walk(nodes.left[node], at)
+        right, at = walk(nodes.right[node], at)
+        return F.when(F.element_at(values, nodes.feature[node] + 1) <= nodes.threshold[node], left).otherwise(right), at
+
+    return walk(root, first)[0]
 
 
 def contributions(nodes: Nodes, values: Column, names: Sequence[str]) -> Column:
-    """array<struct<contribution, feature>>, an entry for each feature in order; with `bias` they add up to the raw prediction."""
-    walked = steps(nodes, values)
-    each = lambda i: F.aggregate(F.filter(walked, lambda s: s["feature"] == i), F.lit(0.0), lambda acc, s: acc + s["delta"])
-    return F.array(*(F.struct(each(i).alias("contribution"), F.lit(n).alias("feature")) for i, n in enumerate(names)))
+    """array<struct<contribution, feature>>, an entry for each feature in order; with `bias` they add up to the raw prediction.
+
+    What a row's steps add is known by its leaf: an array of literals for each tree, depth and feature split on there."""
+    sums = [F.lit(0.0)] * len(names)
+    for root in nodes.roots:
+        ways = paths(nodes, root)
+        here = leaf(nodes, values, root)
+        for depth in range(max(map(len, ways))):
+            for i in sorted({way[depth][0] for way in ways if depth < len(way)}):
+                deltas = [way[depth][1] if depth < len(way) and way[depth][0] == i else 0.0 for way in ways]
+                sums[i] = sums[i] + F.element_at(F.lit(deltas), here)
+    return F.array(*(F.struct(s.alias("contribution"), F.lit(n).alias("feature")) for s, n in zip(sums, names, strict=True)))
 
 
 def greatest(parts: Column, most: int = 3) -> Column:

@@ -43,15 +43,24 @@ def chronological(df: DataFrame, date: str, cutoff: str) -> tuple[DataFrame, Dat
     return df.where(F.col(date) < day), df.where(F.col(date) >= day)
 
 
-def imputed_scaled(train: DataFrame, rows: DataFrame, numbers: tuple[str, ...]) -> DataFrame:
-    """Nulls become the training median, then columns are centred and divided by the population deviation of the training rows (1 where constant)."""
+def scales(train: DataFrame, numbers: tuple[str, ...]) -> dict[str, tuple[float | None, float | None, float | None]]:
+    """Of each column the median over train, and mean and population deviation with nulls at the median; a row that is told to the driver once, so that no later plan makes it again."""
     middles = metrics.quantiles(train, numbers, [0.5])
     medians = middles.agg(*[F.max(F.when(F.col("name") == c, F.col("value"))).alias(f"__m_{c}") for c in numbers])
-    filled = train.crossJoin(F.broadcast(medians)).select(*[F.coalesce(F.col(c).cast("double"), F.col(f"__m_{c}")).alias(c) for c in numbers])
-    moments = filled.agg(*[F.avg(c).alias(f"__a_{c}") for c in numbers], *[F.stddev_pop(c).alias(f"__s_{c}") for c in numbers])
-    wide = rows.crossJoin(F.broadcast(medians)).crossJoin(F.broadcast(moments))
-    scaled = {f"z_{c}": (F.coalesce(F.col(c).cast("double"), F.col(f"__m_{c}")) - F.col(f"__a_{c}")) / F.when(F.col(f"__s_{c}") > 0, F.col(f"__s_{c}")).otherwise(1.0) for c in numbers}
-    return wide.withColumns(scaled).select(*rows.columns, *scaled)
+    filled = train.crossJoin(F.broadcast(medians)).select(*[F.coalesce(F.col(c).cast("double"), F.col(f"__m_{c}")).alias(c) for c in numbers], *[f"__m_{c}" for c in numbers])
+    r = filled.agg(*[x for c in numbers for x in (F.max(f"__m_{c}"), F.avg(c), F.stddev_pop(c))]).first()
+    return {c: tuple(r[3 * i : 3 * i + 3]) for i, c in enumerate(numbers)}
+
+
+def scaled(rows: DataFrame, known: dict[str, tuple[float | None, float | None, float | None]]) -> DataFrame:
+    """Adds z_<column>: nulls become the median, then columns are centred and divided by the deviation (1 where constant)."""
+    number = lambda x: F.lit(x).cast("double")
+    return rows.withColumns({f"z_{c}": (F.coalesce(F.col(c).cast("double"), number(m)) - number(a)) / number(s if s and s > 0 else 1.0) for c, (m, a, s) in known.items()})
+
+
+def imputed_scaled(train: DataFrame, rows: DataFrame, numbers: tuple[str, ...]) -> DataFrame:
+    """Nulls become the training median, then columns are centred and divided by the population deviation of the training rows (1 where constant)."""
+    return scaled(rows, scales(train, numbers))
 
 
 def one_hot(rows: DataFrame, column: str, categories: list[str]) -> DataFrame:
@@ -189,10 +198,11 @@ def fitted_logistic(rows: DataFrame, penalty: float, balanced: bool):
 
 def fold_parts(rows: DataFrame, date: str, splits: int) -> Iterator[tuple[DataFrame, DataFrame]]:
     """Rows to learn from and rows to score of each expanding fold by date that has both classes to learn from. They are held until the next fold.
-    Days are broadcast, a row each, so that the rows stay where they are."""
-    folds = metrics.date_folds(rows, date, splits)
+    A part of a fold is a range of days, whose ends the driver gets, so that the rows stay where they are and later plans don't look for days again."""
+    ends = metrics.date_folds(rows, date, splits).groupBy("fold", "part").agg(F.min(date), F.max(date)).collect()  # two rows a fold
+    days = {(k, name): F.col(date).between(first, last) for k, name, first, last in ends}
     for k in range(1, splits + 1):
-        part = lambda name, k=k: rows.join(F.broadcast(folds.where((F.col("fold") == k) & (F.col("part") == name)).select(date)), date, "left_semi")
+        part = lambda name, k=k: rows.where(days.get((k, name), F.lit(False)))
         with kept(part("train")) as train, kept(part("test")) as test:
             if train.select("target").distinct().limit(2).count() == 2:
                 yield train, test
@@ -253,7 +263,8 @@ def refreshed_scores(spark: SparkSession, d: str) -> DataFrame:
     rows = labelled(spark, d)
     mature = rows.where(F.col("next_inspected") <= F.lit("2001-05-31").cast("date"))
     now = top_per_key(history_frame(daily(spark, d)), ["restaurant_key"], [F.desc("inspected")])
-    assembled = lambda df: VectorAssembler(inputCols=guarded([f"z_{c}" for c in NUMBERS]), outputCol="features").transform(imputed_scaled(mature, df, NUMBERS))
+    known = scales(mature, NUMBERS)
+    assembled = lambda df: VectorAssembler(inputCols=guarded([f"z_{c}" for c in NUMBERS]), outputCol="features").transform(scaled(df, known))
     with kept(slim(assembled(mature))) as train:
         scored = out_of_fold(train, "next_inspected", lambda part: fitted_logistic(part, 0.01, False)).select("target", "p")
         risk = calibrated(vector_to_array(F.col("probability"))[1], scored)

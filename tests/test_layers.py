@@ -135,6 +135,54 @@ def test_tree_contributions_by_hand(spark):
     assert got == [[-0.5, 0.0], [0.2, -0.1], [0.2, 0.6]]
 
 
+def test_contributions_are_looked_up_by_leaf(spark):
+    """No function of higher order walks the trees for each row, and sums are those of the steps in their order."""
+    rng = random.Random(5)
+    nodes = trees.Nodes(depth=4)
+
+    def grow(depth):
+        at = len(nodes.left)
+        for values, v in ((nodes.left, -1), (nodes.right, -1), (nodes.feature, -1), (nodes.threshold, 0.0), (nodes.score, rng.gauss(0, 1))):
+            values.append(v)
+        if depth and rng.random() < 0.8:
+            nodes.feature[at], nodes.threshold[at] = rng.randrange(3), rng.gauss(0, 1)
+            nodes.left[at], nodes.right[at] = grow(depth - 1), grow(depth - 1)
+        return at
+
+    for _ in range(12):
+        nodes.roots.append(grow(4))
+    nodes.roots.append(grow(0))
+
+    def by_steps(v):
+        out = [0.0] * 3
+        for at in nodes.roots:
+            while nodes.left[at] >= 0:
+                to = nodes.left[at] if v[nodes.feature[at]] <= nodes.threshold[at] else nodes.right[at]
+                out[nodes.feature[at]] += nodes.score[to] - nodes.score[at]
+                at = to
+        return out
+
+    data = [[rng.gauss(0, 1) for _ in range(3)] for _ in range(50)] + [[nodes.threshold[nodes.roots[0]]] * 3, [float("-inf"), float("inf"), 0.0]]
+    told = spark.createDataFrame([(v,) for v in data], "v array<double>").select("v", trees.contributions(nodes, F.col("v"), ["a", "b", "c"]).alias("parts"))
+    assert all([p["contribution"] for p in r["parts"]] == by_steps(r["v"]) for r in told.collect())
+    assert "lambda" not in told._jdf.queryExecution().toString()
+
+
+def test_scales_and_fold_days_are_found_once(spark):
+    """What a model's rows are scaled by and the days of folds are known to later plans, which don't make them again."""
+    _, test = learning._assembled(spark, DATA)
+    plan = test._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Generate" not in plan and plan.count("parquet") == 1
+    rows = spark.createDataFrame([(datetime(2000, 1, 1 + i % 20).date(), i % 2) for i in range(80)] + [(None, 1)], "day date, target int")
+    parts = [[sorted({r["day"].day for r in part.collect()}) for part in pair] for pair in learning.fold_parts(rows.where("day IS NOT NULL"), "day", 3)]
+    assert parts == [[list(range(1, 6)), list(range(6, 11))], [list(range(1, 11)), list(range(11, 16))], [list(range(1, 16)), list(range(16, 21))]]
+    for train, held in learning.fold_parts(rows, "day", 3):
+        assert train.where("day IS NULL").count() == held.where("day IS NULL").count() == 0
+        for part in (train, held):
+            plan = part._jdf.queryExecution().optimizedPlan().toString()
+            assert "Join" not in plan and "Window" not in plan
+
+
 def test_preparation_is_saved_in_a_pipeline(spark, tmp_path):
     from pyspark.ml import Pipeline, PipelineModel
     from pyspark.ml.classification import LogisticRegression
